@@ -411,12 +411,13 @@ def _(t: Tables) -> DataFrame:
 @query(
     "viz_line",
     """WITH x AS (SELECT o_orderstatus, epoch_us(o_orderdate)::DOUBLE AS p, strftime(o_orderdate, '%Y-%m-%d') AS d,
-                         o_totalprice AS y FROM orders), s AS (SELECT min(p) AS lo, max(p) AS hi FROM x)
-       SELECT o_orderstatus, min(d) AS x, max(d) AS x_last, round(avg(y), 4) AS y, count(*) AS n
+                         sqrt(o_totalprice) AS y FROM orders), s AS (SELECT min(p) AS lo, max(p) AS hi FROM x)
+       SELECT o_orderstatus, min(d) AS x, max(d) AS x_last, round(avg(y), 6) AS y, count(*) AS n
        FROM x, s GROUP BY o_orderstatus, least(floor((p - lo) / (hi - lo) * 200), 199)""",
 )
 def _(t: Tables) -> DataFrame:
-    out = charts.line(t.orders, "o_orderdate", "o_totalprice", "o_orderstatus")
+    rows = t.orders.withColumn("root_price", F.sqrt("o_totalprice"))
+    out = charts.line(rows, "o_orderdate", "root_price", "o_orderstatus")
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("x", "x_last")})
 
 

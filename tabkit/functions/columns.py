@@ -56,13 +56,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def lookup(small: DataFrame, key: str, *values: str) -> Column:
-    """A one-value subquery holding ``small`` as a map from key to a struct of values.
+def lookup(small: DataFrame, names: Sequence[str], *values: str) -> Column:
+    """A one-row subquery: per table column in ``names`` a struct of ``values``.
 
-    Meant for frames with one row per table column, whose size is set by the schema.
+    ``small`` has one row per table column, named in its field ``column``; its size is set by the
+    schema, never by the data.
     """
-    entry = F.struct(F.col(key).alias("key"), F.struct(*values).alias("value"))
-    return small.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    picked = [F.max(F.when(F.col("column") == c, F.struct(*values))).alias(c) for c in names]
+    return small.agg(F.struct(*picked).alias("row")).scalar()
 
 
 def stack_rows(wide: DataFrame, columns: Sequence[str], fields: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

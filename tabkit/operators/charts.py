@@ -144,7 +144,7 @@ def line(
         .agg(
             F.min("x").alias("x"),
             F.max("x").alias("x_last"),
-            F.round(F.avg("y"), 4).alias("y"),
+            F.round(F.avg("y"), 6).alias("y"),
             F.count(F.lit(1)).alias("n"),
         )
         .drop("__bin")

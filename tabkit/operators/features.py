@@ -32,7 +32,7 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, fit_on: D
     require_columns(df, names)
     base = df if fit_on is None else fit_on
     clean = base.select(*[F.when(~missing(base, c), F.col(c).cast("double")).alias(c) for c in names])
-    medians = lookup(quantiles_long(clean, names, {"median": 0.5}), "column", "median")
+    medians = lookup(quantiles_long(clean, names, {"median": 0.5}), names, "median")
     filled = {
         c: F.coalesce(F.when(~missing(df, c), F.col(c).cast("double")), medians[c]["median"], F.lit(0.0))
         for c in names

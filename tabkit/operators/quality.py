@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabkit.errors import DatasetTooLargeError, EmptyDatasetError, InvalidArgumentsError, InvalidCSVError
-from tabkit.functions.columns import lookup, missing, numeric_columns, require_columns, stack_rows
+from tabkit.functions.columns import missing, numeric_columns, require_columns, stack_rows
 from tabkit.plans.ordered import quantiles_long
 from tabkit.plans.sizing import range_partitions
 from tabkit.session import checkpointed
@@ -94,10 +94,13 @@ def iqr_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     """Outliers per numeric column (strictly outside the fences), only columns that have some."""
     names = list(columns or numeric_columns(df))
     require_columns(df, names)
-    fences = lookup(iqr_fences(df, names), "column", "lower", "upper")
+    # one fence per table column: the driver sees as many numbers as the schema has columns
+    fences = {r["column"]: r for r in iqr_fences(df, names).collect()}
     counts = df.agg(
         *[
-            F.count_if((F.col(c) < fences[c]["lower"]) | (F.col(c) > fences[c]["upper"])).alias(f"{c}__outliers")
+            F.count_if((F.col(c) < F.lit(fences[c]["lower"])) | (F.col(c) > F.lit(fences[c]["upper"]))).alias(
+                f"{c}__outliers"
+            )
             for c in names
         ],
         *[F.count(F.lit(1)).alias(f"{c}__total") for c in names],
