@@ -75,3 +75,9 @@ def stack_rows(wide: DataFrame, columns: Sequence[str], fields: Sequence[str], k
         ]
     )
     return wide.select(*keys, F.explode(rows).alias("__r")).select(*keys, "__r.*")
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Pairwise-complete correlation aggregate; null, not an error, when one side is constant."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
-from tabkit.functions.columns import is_boolean, is_numeric, missing, numeric_columns, require_columns, stack_rows
+from tabkit.functions.columns import is_boolean, is_numeric, missing, numeric_columns, pearson, require_columns, stack_rows
 from tabkit.plans.ordered import quantiles_long
 from tabkit.plans.sizing import MAX_BROADCAST_ROWS
 
@@ -173,7 +173,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, digit
         raise InsufficientDataError("a correlation needs at least two numeric columns")
     value = {c: F.when(~missing(df, c), F.col(f"`{c}`").cast("double")) for c in names}
     pairs = list(combinations(names, 2))
-    wide = df.agg(*[F.corr(value[a], value[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[pearson(value[a], value[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(
         *[
             F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), F.col(f"r{i}").alias("r"))
@@ -209,7 +209,7 @@ def correlation_with_target(df: DataFrame, target: str, features: Sequence[str]
     require_columns(df, [target])
     names = [c for c in (features or numeric_columns(df)) if c != target]
     require_columns(df, names)
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"{c}__r") for c in names])
+    wide = df.agg(*[pearson(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"{c}__r") for c in names])
     long = stack_rows(wide, names, ["r"]).select(F.col("column").alias("feature"), F.round("r", 4).alias("r"))
     return long.orderBy(F.desc(F.abs("r")), "feature")
 

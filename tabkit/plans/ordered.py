@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabkit.functions.columns import stack_rows
 from tabkit.plans.sizing import is_small, lookup_side, range_partitions
 from tabkit.session import checkpointed
 
@@ -116,8 +117,8 @@ def quantiles_long(
     if partitions is None and is_small(picked):
         points = F.array(*[F.lit(float(p)) for p in probabilities.values()])
         wide = picked.groupBy(*keys).agg(*[F.percentile(c, points).alias(c) for c in columns])
-        long = wide.unpivot(keys, list(columns), "column", "__q")
-        return long.select(*keys, "column", *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+        flat = wide.select(*keys, *[F.col(c)[i].alias(f"{c}__{n}") for c in columns for i, n in enumerate(names)])
+        return stack_rows(flat, list(columns), names, keys)
 
     long = picked.unpivot(keys, list(columns), "column", "value")
     ranks = running_totals(
