@@ -56,16 +56,6 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def lookup(small: DataFrame, names: Sequence[str], *values: str) -> Column:
-    """A one-row subquery: per table column in ``names`` a struct of ``values``.
-
-    ``small`` has one row per table column, named in its field ``column``; its size is set by the
-    schema, never by the data.
-    """
-    picked = [F.max(F.when(F.col("column") == c, F.struct(*values))).alias(c) for c in names]
-    return small.agg(F.struct(*picked).alias("row")).scalar()
-
-
 def stack_rows(wide: DataFrame, columns: Sequence[str], fields: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Turn one wide aggregate row (``column__field``) into one row per column."""
     rows = F.array(

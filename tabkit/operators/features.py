@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
-from tabkit.functions.columns import is_boolean, is_numeric, lookup, missing, numeric_columns, require_columns
+from tabkit.functions.columns import is_boolean, is_numeric, missing, numeric_columns, require_columns
 from tabkit.plans.ordered import dense_codes, digest_cuts, quantiles_long, row_digest, running_totals
 from tabkit.plans.sizing import lookup_side
 
@@ -32,12 +32,14 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, fit_on: D
     require_columns(df, names)
     base = df if fit_on is None else fit_on
     clean = base.select(*[F.when(~missing(base, c), F.col(c).cast("double")).alias(c) for c in names])
-    medians = lookup(quantiles_long(clean, names, {"median": 0.5}), names, "median")
-    filled = {
-        c: F.coalesce(F.when(~missing(df, c), F.col(c).cast("double")), medians[c]["median"], F.lit(0.0))
-        for c in names
-    }
-    return df.withColumns(filled)
+    # one number per table column comes to the driver, so the plan of the result stays small
+    found = {r["column"]: r["median"] for r in quantiles_long(clean, names, {"median": 0.5}).collect()}
+    return df.withColumns(
+        {
+            c: F.coalesce(F.when(~missing(df, c), F.col(c).cast("double")), F.lit(float(found[c] or 0.0)))
+            for c in names
+        }
+    )
 
 
 def impute_category(df: DataFrame, columns: Sequence[str], token: str = "missing") -> DataFrame:
@@ -140,15 +142,10 @@ def standardize(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
     require_columns(df, columns)
     base = df if fit_on is None else fit_on
     stats = base.agg(
-        F.struct(
-            *[
-                F.struct(F.avg(c).alias("mean"), F.nullif(F.stddev_pop(c), F.lit(0.0)).alias("std")).alias(c)
-                for c in columns
-            ]
-        )
-    ).scalar()
+        *[F.avg(c).alias(f"{c}__mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]
+    ).first()
     return df.withColumns(
-        {c: (F.col(c) - stats[c]["mean"]) / F.coalesce(stats[c]["std"], F.lit(1.0)) for c in columns}
+        {c: (F.col(c) - F.lit(stats[f"{c}__mean"])) / F.lit(stats[f"{c}__std"] or 1.0) for c in columns}
     )
 
 
