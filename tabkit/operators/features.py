@@ -6,7 +6,7 @@ defaults to the frame itself; pass the training rows to keep test rows out of it
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -149,10 +149,21 @@ def standardize(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
     )
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def minmax_row(values: Column, epsilon: float = 1e-8) -> Column:
     """Scale one row's vector to 0..1."""
-    low, high = F.array_min(values), F.array_max(values)
-    return F.transform(values, lambda x: (x - low) / (high - low + epsilon))
+
+    def scaled(r: Column) -> Column:
+        return F.transform(r["v"], lambda x: (x - r["low"]) / (r["high"] - r["low"] + epsilon))
+
+    def ranged(v: Column) -> Column:
+        return F.struct(v.alias("v"), F.array_min(v).alias("low"), F.array_max(v).alias("high"))
+
+    return with_value(with_value(values, ranged), scaled)
 
 
 def normalize(values: Column, mean: Column, std: Column) -> Column:

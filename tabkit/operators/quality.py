@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabkit.errors import DatasetTooLargeError, EmptyDatasetError, InvalidArgumentsError, InvalidCSVError
 from tabkit.functions.columns import missing, numeric_columns, require_columns, stack_rows
 from tabkit.plans.ordered import quantiles_long
-from tabkit.plans.sizing import range_partitions
+from tabkit.plans.sizing import is_small, lookup_side, range_partitions
 from tabkit.session import checkpointed
 
 
@@ -45,7 +45,18 @@ def validate_target(df: DataFrame, target: str) -> None:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier one. Nulls equal each other."""
+    """How many rows repeat an earlier one. Nulls equal each other.
+
+    A large table is first counted by an 8-byte hash, so that only rows whose hash repeats have to
+    be shuffled whole. If too many repeat, all rows are grouped; both ways are exact.
+    """
+    if not is_small(df):
+        digest = F.xxhash64(*df.columns)
+        repeated = df.groupBy(digest.alias("__h")).agg(F.count(F.lit(1)).alias("__c")).filter(F.col("__c") > 1)
+        side = repeated.select("__h")
+        fitting = lookup_side(side)
+        if fitting is not side:
+            df = df.join(fitting, digest == F.col("__h"), "left_semi")
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__c"))
     return copies.agg(F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
@@ -189,7 +200,9 @@ def near_ties(df: DataFrame, score: str, tolerance: float = 1e-4, partitions: in
     distinct = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    count = partitions or range_partitions(df.select(score))
+    if partitions is None:
+        distinct = checkpointed(distinct)
+    count = partitions or range_partitions(distinct, distinct.count())
     ranged = checkpointed(distinct.repartitionByRange(count, "score").withColumn("part", F.spark_partition_id()))
 
     def next_group(values: np.ndarray) -> np.ndarray:

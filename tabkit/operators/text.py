@@ -16,6 +16,7 @@ from tabkit.functions.columns import require_columns
 from tabkit.functions.porter import stem
 from tabkit.functions.scalars import argmax, tokens
 from tabkit.plans.ordered import dense_codes
+from tabkit.plans.sizing import spread
 
 MIN_LANGUAGE_CHARS = 20
 LANGUAGE_CONFIDENCE = 0.7
@@ -32,7 +33,7 @@ def tokenize(df: DataFrame, text: str, column: str = "tokens") -> DataFrame:
 
 def token_counts(df: DataFrame, text: str) -> DataFrame:
     """Every distinct token with the number of its occurrences: (token, n)."""
-    exploded = df.select(F.explode(tokens(F.col(text))).alias("token"))
+    exploded = spread(df.select(text)).select(F.explode(tokens(F.col(text))).alias("token"))
     return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -53,7 +54,7 @@ def stemmed_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
     with adaptive splitting of frequent tokens.
     """
     require_columns(df, [key, text])
-    words = df.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
+    words = spread(df.select(key, text)).select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
     dictionary = stem_dictionary(df, text).select("token", "stem")
     return words.join(dictionary, "token").select(key, "stem").distinct()
 
@@ -66,7 +67,7 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
 def bag_of_words(df: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
     """Binary bag of words: the sorted codes of the vocabulary words each row contains."""
     require_columns(df, [key, text])
-    found = df.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
+    found = spread(df.select(key, text)).select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
     hits = found.join(words, "token").groupBy(key).agg(F.sort_array(F.collect_list("code")).alias("codes"))
     return df.select(key).join(hits, key, "left").select(key, F.coalesce("codes", F.array().cast("array<bigint>")).alias("codes"))
 
@@ -105,7 +106,7 @@ def fit_language_model(df: DataFrame, text: str, lang: str, buckets: int = 1 <<
         StringIndexer(inputCol=lang, outputCol="__lang", stringOrderType="alphabetAsc"),
         NaiveBayes(featuresCol="__tf", labelCol="__lang", probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw"),
     ]
-    rows = _letters(df.filter(F.length(text) > 0), text)
+    rows = _letters(spread(df.select(text, lang)).filter(F.length(text) > 0), text)
     return Pipeline(stages=stages).fit(rows)
 
 
@@ -129,7 +130,7 @@ def fit_intents(
 ) -> PipelineModel:
     """Intent classifier: binary bag of words, two small hidden layers, softmax."""
     require_columns(df, [text, tag])
-    rows = df.select(F.col(text), F.col(tag), tokens(F.col(text)).alias("__tokens")).persist()
+    rows = spread(df.select(text, tag)).select(text, tag, tokens(F.col(text)).alias("__tokens")).persist()
     words = CountVectorizer(inputCol="__tokens", outputCol="__bag", binary=True, vocabSize=vocab_size).fit(rows)
     tags = StringIndexer(inputCol=tag, outputCol="__tag", stringOrderType="alphabetAsc").fit(rows)
     if len(tags.labels) < 2:

@@ -1,20 +1,30 @@
 """Global order without a single-partition window.
 
-Every operator here first collapses equal order values with a map-side combined ``groupBy``. Small
-inputs then use one window. Larger ones are range-partitioned by (keys, order value), written once
-to the checkpoint folder, summed per partition, and get the totals of the earlier partitions added.
-A key that holds a third of all rows is cut into as many ranges as its share asks for.
+Every operator here first collapses equal order values with a map-side combined ``groupBy``. If few
+distinct values are left, one window orders them. Otherwise they are range-partitioned by (keys,
+order value), written once to the checkpoint folder, summed per partition, and get the totals of
+the earlier partitions added. A key that holds a third of all rows is cut into as many ranges as
+its share asks for.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabkit.functions.columns import stack_rows
-from tabkit.plans.sizing import is_small, lookup_side, range_partitions
+from tabkit.plans.sizing import (
+    MAX_BROADCAST_ROWS,
+    TINY_BYTES,
+    estimated_bytes,
+    is_small,
+    lookup_side,
+    range_partitions,
+    rows_fit,
+)
 from tabkit.session import checkpointed
 
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -41,7 +51,14 @@ def running_totals(
         *[_COMBINE[kind](column).alias(name) for name, (kind, column) in measures.items()]
     )
     direction = F.desc if descending else F.asc
-    if partitions is None and is_small(df.select(*keys, order)):
+    small = partitions is None and is_small(df.select(*keys, order))
+    if partitions is None and not small:
+        # estimates of joins are too high: store the distinct values once and look at their number
+        grouped = checkpointed(grouped)
+        n = grouped.count()
+        small = rows_fit(grouped, n)
+        partitions = range_partitions(grouped, n)
+    if small:
         whole = Window.partitionBy(*keys)
         upto = whole.orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
         return grouped.select(
@@ -52,9 +69,8 @@ def running_totals(
             *[_COMBINE[kind](name).over(whole).alias(f"tot_{name}") for name, (kind, _) in measures.items()],
         )
 
-    count = partitions or range_partitions(df.select(*keys, order))
     ranged = checkpointed(
-        grouped.repartitionByRange(count, *keys, direction(order)).withColumn("__part", F.spark_partition_id())
+        grouped.repartitionByRange(partitions, *keys, direction(order)).withColumn("__part", F.spark_partition_id())
     )
     inside = (
         Window.partitionBy("__part", *keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -86,7 +102,7 @@ def running_totals(
         F.col("__part") == F.col("__k_part"),
     )
     # without keys there is one offset row per range partition, so the size is known
-    joined = detail.join(offsets if keys else lookup_side(offsets, count), same)
+    joined = detail.join(offsets if keys else lookup_side(offsets, partitions), same)
     return joined.select(
         *keys,
         order,
@@ -108,19 +124,133 @@ def quantiles_long(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per (keys, column), one field per probability.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one task, so it serves
-    inputs that fit one; beyond that ranks come from :func:`running_totals`.
+    Tiny inputs use the built-in ``percentile``, which keeps all distinct values of a group in one
+    task. Others take :func:`_bracketed_quantiles`, unless there are too many groups for it;
+    :func:`_ranked_quantiles` then orders all distinct values (``partitions`` forces this way).
     """
     keys = list(keys)
     names = list(probabilities)
     picked = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    if partitions is None and is_small(picked):
+    if partitions is None and estimated_bytes(picked) <= TINY_BYTES:
         points = F.array(*[F.lit(float(p)) for p in probabilities.values()])
         wide = picked.groupBy(*keys).agg(*[F.percentile(c, points).alias(c) for c in columns])
         flat = wide.select(*keys, *[F.col(c)[i].alias(f"{c}__{n}") for c in columns for i, n in enumerate(names)])
         return stack_rows(flat, list(columns), names, keys)
+    if partitions is None:
+        found = _bracketed_quantiles(picked, list(columns), probabilities, keys)
+        if found is not None:
+            return found
+    return _ranked_quantiles(picked, list(columns), probabilities, keys, partitions)
 
-    long = picked.unpivot(keys, list(columns), "column", "value")
+
+#: A quantile sketch of this accuracy misses a rank by at most one row in as many.
+SKETCH_ACCURACY = 10_000
+
+
+def _bracketed_quantiles(
+    df: DataFrame, columns: list[str], probabilities: Mapping[str, float], keys: list[str]
+) -> DataFrame | None:
+    """Quantiles from three light scans, or None if that is not possible.
+
+    A sketch gives two values around each wanted rank, a second scan counts the rows below, and a
+    third one looks only at the few rows in between. The counts prove that the bracket held the
+    rank; if one did not, or there are more groups than may be broadcast, the answer is None.
+    """
+    margin = 2.0 / SKETCH_ACCURACY
+    points = [min(max(p + side, 0.0), 1.0) for p in probabilities.values() for side in (-margin, margin)]
+    sketch = df.groupBy(*keys).agg(
+        *[F.count(c).alias(f"n__{c}") for c in columns],
+        *[F.percentile_approx(c, points, SKETCH_ACCURACY).alias(f"b__{c}") for c in columns],
+    )
+    groups = sketch.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(groups) > MAX_BROADCAST_ROWS:
+        return None
+    spark = df.sparkSession
+    known = spark.createDataFrame(groups, sketch.schema)
+    cells = [(c, i, name) for c in columns for i, name in enumerate(probabilities)]
+    if keys:
+        side = F.broadcast(known.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[f"b__{c}" for c in columns]))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+        rows = df.join(side, same)
+        bound = {(c, j): f"`b__{c}`[{j}]" for c in columns for j in range(len(points))}
+    else:
+        rows = df
+        bounds = {c: groups[0][f"b__{c}"] or [None] * len(points) for c in columns}
+        bound = {
+            (c, j): "double(NULL)" if v is None else f"double('{v!r}')" for c in columns for j, v in enumerate(bounds[c])
+        }
+    below = rows.groupBy(*keys).agg(
+        *[F.expr(f"count_if(`{c}` < {bound[c, 2 * i]})").alias(f"{c}__{name}") for c, i, name in cells]
+    )
+    inside = {(c, i): f"(`{c}` BETWEEN {bound[c, 2 * i]} AND {bound[c, 2 * i + 1]})" for c, i, _ in cells}
+    entries = [
+        f"named_struct('column', '{c}', 'name', '{name}', 'value', IF({inside[c, i]}, `{c}`, NULL))"
+        for c, i, name in cells
+    ]
+    near = rows.filter(" OR ".join(inside.values())).select(
+        *keys, F.expr(f"explode(array({', '.join(entries)}))").alias("e")
+    )
+    flat = near.select(*keys, "e.*").filter(F.col("value").isNotNull())
+    run = running_totals(flat, "value", {"n": ("sum", F.lit(1))}, [*keys, "column", "name"])
+    start = {(*[r[k] for k in keys], c, name): r[f"{c}__{name}"] for r in below.collect() for c, _, name in cells}
+    sizes = {tuple(r[k] for k in keys): r for r in groups}
+    targets = []
+    for key, r in sizes.items():
+        for c, _, name in cells:
+            n, first = r[f"n__{c}"], start.get((*key, c, name), 0)
+            position = (n - 1) * float(probabilities[name])
+            targets.append((*key, c, name, math.floor(position) - first, math.ceil(position) - first))
+    schema = T.StructType(
+        [df.schema[k] for k in keys]
+        + [T.StructField(n, T.StringType()) for n in ("column", "name")]
+        + [T.StructField(n, T.LongType()) for n in ("lo", "hi")]
+    )
+    # one row per group, column and probability: as bounded as the groups are
+    wanted = spark.createDataFrame(targets, schema).select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("column").alias("__c"), F.col("name").alias("__n"), "lo", "hi"
+    )
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys],
+        (F.col("column") == F.col("__c")) & (F.col("name") == F.col("__n")),
+    )
+    picks = (
+        run.join(F.broadcast(wanted), same)
+        .groupBy(*keys, "column", "name")
+        .agg(
+            F.min(F.when(F.col("cum_n") > F.col("lo"), F.col("value"))).alias("at_lo"),
+            F.min(F.when(F.col("cum_n") > F.col("hi"), F.col("value"))).alias("at_hi"),
+            F.first("lo").alias("lo"),
+        )
+        .collect()
+    )
+    at = {(*[r[k] for k in keys], r["column"], r["name"]): r for r in picks}
+    table = []
+    for key, r in sizes.items():
+        for c in columns:
+            values = []
+            for name, p in probabilities.items():
+                n, hit = r[f"n__{c}"], at.get((*key, c, name))
+                if n == 0:
+                    values.append(None)
+                    continue
+                if hit is None or hit["lo"] < 0 or hit["at_lo"] is None or hit["at_hi"] is None:
+                    return None
+                position = (n - 1) * float(p)
+                part = position - math.floor(position)
+                values.append(hit["at_lo"] + part * (hit["at_hi"] - hit["at_lo"]))
+            table.append((*key, c, *values))
+    fields = [df.schema[k] for k in keys] + [T.StructField("column", T.StringType())]
+    fields += [T.StructField(n, T.DoubleType()) for n in probabilities]
+    return spark.createDataFrame(table, T.StructType(fields))
+
+
+def _ranked_quantiles(
+    df: DataFrame, columns: list[str], probabilities: Mapping[str, float], keys: list[str], partitions: int | None
+) -> DataFrame:
+    """Quantiles from the ranks of all distinct values."""
+    names = list(probabilities)
+    long = df.unpivot(keys, list(columns), "column", "value")
     ranks = running_totals(
         long.filter(F.col("value").isNotNull()),
         "value",

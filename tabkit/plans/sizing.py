@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Inputs estimated below this many bytes may be handled by one task.
-SMALL_BYTES = 32 * 1024 * 1024
+#: Inputs estimated below this many bytes (one usual partition) may be handled by one task.
+SMALL_BYTES = 128 * 1024 * 1024
+#: Below this many bytes one aggregate buffer may hold all values.
+TINY_BYTES = 1024 * 1024
 #: Most rows a lookup side may have before it stops being broadcast.
 MAX_BROADCAST_ROWS = 10_000
 
@@ -16,17 +18,32 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def _limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.tabkit.smallBytes", str(SMALL_BYTES)))
+
+
 def is_small(df: DataFrame) -> bool:
-    """Does the estimate fit one task? The limit is ``spark.tabkit.smallBytes``."""
-    limit = int(df.sparkSession.conf.get("spark.tabkit.smallBytes", str(SMALL_BYTES)))
-    return estimated_bytes(df) <= limit
+    """Does the estimate fit one task? The limit is ``spark.tabkit.smallBytes``.
+
+    Estimates of joins and of unknown sources are far too high, never too low; a caller that gets
+    False may store its rows, count them and ask :func:`rows_fit`.
+    """
+    return estimated_bytes(df) <= _limit(df)
+
+
+def _row_bytes(df: DataFrame) -> int:
+    return 64 * len(df.columns)
+
 
+def rows_fit(stored: DataFrame, n: int) -> bool:
+    """Do ``n`` counted rows fit one task?"""
+    return n * _row_bytes(stored) <= _limit(stored)
 
-def range_partitions(df: DataFrame) -> int:
-    """How many range partitions to cut ``df`` into: about 128 MB each, at least the default."""
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = estimated_bytes(df) // (128 * 1024 * 1024)
-    return int(max(default, min(wanted, 20_000)))
+
+def range_partitions(stored: DataFrame, n: int) -> int:
+    """How many range partitions ``n`` counted rows are cut into: about 128 MB each."""
+    default = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(default, n * _row_bytes(stored) // (128 * 1024 * 1024))
 
 
 def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -38,3 +55,15 @@ def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Hand a small input that needs much work per row to all cores.
+
+    A file with a single row group is read by one task. Inputs beyond a gigabyte arrive in enough
+    tasks by themselves and are left alone.
+    """
+    size = estimated_bytes(df)
+    if not TINY_BYTES <= size <= 1 << 30:
+        return df
+    return df.repartition(int(min(df.sparkSession.sparkContext.defaultParallelism, max(1, size >> 18))))

@@ -28,6 +28,13 @@ def test_duplicates_count_nulls_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (2, "a"), (1, None)], "a int, b string")
     assert quality.duplicate_rows(df).first()[0] == 2
     assert quality.duplicate_rows(df.limit(0)).first()[0] == 0
+    spark.conf.set("spark.tabkit.smallBytes", "1")
+    try:
+        assert quality.duplicate_rows(df).first()[0] == 2
+        many = spark.range(25_000).select((F.col("id") % 12_000).alias("v"))
+        assert quality.duplicate_rows(many).first()[0] == 13_000
+    finally:
+        spark.conf.unset("spark.tabkit.smallBytes")
 
 
 def test_null_counts_see_nan(spark, churn):
