@@ -73,7 +73,8 @@ def first_values(
         numbered = long.filter(F.col("value").isNotNull()).withColumn("position", F.row_number().over(by))
         return numbered.filter(F.col("position") <= n).select("column", "position", "value")
 
-    head = df.orderBy(*order).limit(max(_HEAD, n))
+    # a few rows, wanted by the type detection and by the samples
+    head = df.orderBy(*order).limit(max(_HEAD, n)).persist()
     seen = head.agg(
         F.count(F.lit(1)).alias("__n"), *[F.count_if(~missing(head, c)).alias(c) for c in names]
     ).first()
