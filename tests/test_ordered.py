@@ -99,3 +99,28 @@ def test_size_limit_is_configurable(spark):
         assert rows_of(quantiles_long(df, ["id"], {"m": 0.5})) == [("id", 49999.5)]
     finally:
         spark.conf.unset("spark.tabkit.smallBytes")
+
+
+def test_bracketed_quantiles_and_their_fallback(spark, monkeypatch):
+    from tabkit.plans import ordered
+
+    rng = np.random.default_rng(12)
+    rows = [("hot" if i % 3 else f"k{i % 7}", float(rng.normal()), 1.0 if i % 2 else float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows + [("empty", None, None)], "k string, v double, w double")
+    wanted = {"lo": 0.01, "mid": 0.5, "hi": 0.999}
+    data = df.toPandas()
+
+    def check(got):
+        for r in got.collect():
+            values = data.loc[data["k"] == r["k"], r["column"]].dropna()
+            for name, p in wanted.items():
+                want = np.quantile(values, p) if len(values) else None
+                assert r[name] == (pytest.approx(want) if want is not None else None)
+
+    picked = df.select("k", "v", "w")
+    found = ordered._bracketed_quantiles(picked, ["v", "w"], wanted, ["k"])
+    assert found is not None and found.count() == 2 * data["k"].nunique()
+    check(found)
+    monkeypatch.setattr(ordered, "MAX_BROADCAST_ROWS", 2)
+    assert ordered._bracketed_quantiles(picked, ["v", "w"], wanted, ["k"]) is None
+    check(quantiles_long(df, ["v", "w"], wanted, ["k"]))
