@@ -13,7 +13,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from tabkit.functions.columns import stack_rows
 from tabkit.plans.sizing import (
@@ -156,8 +156,12 @@ def _bracketed_quantiles(
     third one looks only at the few rows in between. The counts prove that the bracket held the
     rank; if one did not, or there are more groups than may be broadcast, the answer is None.
     """
-    margin = 2.0 / SKETCH_ACCURACY
-    points = [min(max(p + side, 0.0), 1.0) for p in probabilities.values() for side in (-margin, margin)]
+    # a bracket must reach past its rank by the sketch's error and by two rows; how far depends on
+    # the size of the group, so three widths are asked for and one is chosen
+    margins = (2.0 / SKETCH_ACCURACY, 0.05, 1.0)
+    points = [
+        min(max(p + side, 0.0), 1.0) for p in probabilities.values() for m in margins for side in (-m, m)
+    ]
     sketch = df.groupBy(*keys).agg(
         *[F.count(c).alias(f"n__{c}") for c in columns],
         *[F.percentile_approx(c, points, SKETCH_ACCURACY).alias(f"b__{c}") for c in columns],
@@ -166,16 +170,26 @@ def _bracketed_quantiles(
     if len(groups) > MAX_BROADCAST_ROWS:
         return None
     spark = df.sparkSession
-    known = spark.createDataFrame(groups, sketch.schema)
+
+    def chosen(row: Row, c: str) -> list[float] | None:
+        n, found = row[f"n__{c}"], row[f"b__{c}"]
+        width = 0 if n >= 4 * SKETCH_ACCURACY else 1 if n >= 200 else 2
+        step = 2 * len(margins)
+        return found and [found[step * i + 2 * width + side] for i in range(len(probabilities)) for side in (0, 1)]
+
+    brackets = [(*[r[k] for k in keys], *[chosen(r, c) for c in columns]) for r in groups]
+    fields = [df.schema[k] for k in keys]
+    fields += [T.StructField(f"b__{c}", T.ArrayType(T.DoubleType())) for c in columns]
+    known = spark.createDataFrame(brackets, T.StructType(fields))
     cells = [(c, i, name) for c in columns for i, name in enumerate(probabilities)]
     if keys:
         side = F.broadcast(known.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[f"b__{c}" for c in columns]))
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
         rows = df.join(side, same)
-        bound = {(c, j): f"`b__{c}`[{j}]" for c in columns for j in range(len(points))}
+        bound = {(c, j): f"`b__{c}`[{j}]" for c in columns for j in range(2 * len(probabilities))}
     else:
         rows = df
-        bounds = {c: groups[0][f"b__{c}"] or [None] * len(points) for c in columns}
+        bounds = {c: chosen(groups[0], c) or [None] * (2 * len(probabilities)) for c in columns}
         bound = {
             (c, j): "double(NULL)" if v is None else f"double('{v!r}')" for c in columns for j, v in enumerate(bounds[c])
         }
