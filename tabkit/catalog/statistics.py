@@ -417,7 +417,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     rows = t.orders.withColumn("root_price", F.sqrt("o_totalprice"))
-    out = charts.line(rows, "o_orderdate", "root_price", "o_orderstatus")
+    out = charts.line(rows, "o_orderdate", "root_price", "o_orderstatus", cap=1000)
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("x", "x_last")})
 
 
