@@ -167,7 +167,7 @@ _CENTRE_SQL = """WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v
 
 def _with_centres(t: Tables) -> DataFrame:
     rows = t.embeddings.withColumn("x", F.col("embedding").cast("array<double>"))
-    return rows.join(anomaly.class_means(rows, "x", "label"), "label")
+    return anomaly.with_class_means(rows, "x", "label")
 
 
 @query("anom_centroid_error", f"{_CENTRE_SQL} SELECT vec_id, round(avg(q), 8) AS error FROM d GROUP BY vec_id")

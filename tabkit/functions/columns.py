@@ -71,3 +71,15 @@ def pearson(a: Column, b: Column) -> Column:
     """Pairwise-complete correlation aggregate; null, not an error, when one side is constant."""
     spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
     return F.try_divide(F.covar_pop(a, b), spread)
+
+
+def distinct_key(df: DataFrame, column: str) -> Column:
+    """What to count distinctly for a column: its value, or for long texts a SHA-256 of it.
+
+    Distinct counts shuffle every distinct value; this way a value never weighs more than 64 bytes.
+    """
+    c = F.col(f"`{column}`")
+    value = F.when(~missing(df, column), c)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return F.when(F.length(c) > 64, F.sha2(c, 256)).otherwise(value)
+    return value

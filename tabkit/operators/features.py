@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
-from tabkit.functions.columns import is_boolean, is_numeric, missing, numeric_columns, require_columns
+from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, missing, numeric_columns, require_columns
 from tabkit.plans.ordered import dense_codes, digest_cuts, quantiles_long, row_digest, running_totals
 from tabkit.plans.sizing import lookup_side
 
@@ -109,7 +109,7 @@ def usable_features(df: DataFrame, target: str, max_levels: int = MAX_LEVELS) ->
     open_ones = [c for c in others if isinstance(df.schema[c].dataType, scalar)]
     few: dict[str, int] = {}
     if open_ones:
-        few = df.agg(*[F.count_distinct(c).alias(c) for c in open_ones]).first().asDict()
+        few = df.agg(*[F.count_distinct(distinct_key(df, c)).alias(c) for c in open_ones]).first().asDict()
     usable = [c for c in others if is_numeric(df, c) or is_boolean(df, c) or few.get(c, max_levels + 1) <= max_levels]
     if not usable:
         raise InsufficientDataError("no usable feature columns")
@@ -126,7 +126,7 @@ def feature_choice(df: DataFrame, target: str, max_levels: int = MAX_LEVELS) ->
 def problem_type(df: DataFrame, target: str) -> DataFrame:
     """classification or regression, with the numbers behind the choice (one row)."""
     require_columns(df, [target])
-    facts = df.agg(F.count_distinct(target).alias("n_unique"), F.count(F.lit(1)).alias("n_rows"))
+    facts = df.agg(F.count_distinct(distinct_key(df, target)).alias("n_unique"), F.count(F.lit(1)).alias("n_rows"))
     few = (F.col("n_unique") <= MAX_CLASS_VALUES) & (
         F.col("n_unique") / F.greatest("n_rows", F.lit(1)) < MAX_CLASS_RATIO
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabkit.functions.columns import is_boolean, is_numeric, missing
+from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, missing
 from tabkit.operators.quality import duplicate_rows
 from tabkit.operators.stats import numeric_summary
 
@@ -135,9 +135,7 @@ def column_types(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFr
     counts = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.struct(*[F.count_if(missing(df, c)).alias(c) for c in df.columns]).alias("missing"),
-        F.struct(*[F.count_distinct(F.when(~missing(df, c), F.col(f"`{c}`"))).alias(c) for c in countable]).alias(
-            "unique"
-        ),
+        F.struct(*[F.count_distinct(distinct_key(df, c)).alias(c) for c in countable]).alias("unique"),
     ).first()
     dates = date_columns(df, order_by)
     n = counts["n"]

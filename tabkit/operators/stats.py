@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
-from tabkit.functions.columns import is_boolean, is_numeric, missing, numeric_columns, pearson, require_columns, stack_rows
+from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, missing, numeric_columns, pearson, require_columns, stack_rows
 from tabkit.plans.ordered import quantiles_long
 from tabkit.plans.sizing import MAX_BROADCAST_ROWS
 
@@ -281,7 +281,7 @@ def distinct_counts(df: DataFrame, *columns: str, approximate: bool = False) ->
     """Distinct non-missing values per column; ``approximate`` trades exactness for one light pass."""
     require_columns(df, columns)
     count = F.approx_count_distinct if approximate else F.count_distinct
-    wide = df.agg(*[count(F.col(c)).cast("long").alias(f"{c}__n_distinct") for c in columns])
+    wide = df.agg(*[count(distinct_key(df, c)).cast("long").alias(f"{c}__n_distinct") for c in columns])
     return stack_rows(wide, list(columns), ["n_distinct"])
 
 
