@@ -69,8 +69,7 @@ def box(df: DataFrame, column: str, group_by: str | None = None) -> DataFrame:
     keys = [group_by] if group_by else []
     value = F.col(column).cast("double")
     rows = df.filter(~missing(df, column)).select(*keys, value.alias(column))
-    medians = stats.quantiles_long(rows, [column], {"median": 0.5}, keys)
-    fences = iqr_fences(rows, [column], keys=keys).join(medians, [*keys, "column"]).drop("column")
+    fences = iqr_fences(rows, [column], keys=keys).drop("column")
     if keys:
         key = f"__{group_by}"
         fences = lookup_side(fences.withColumnRenamed(group_by, key))

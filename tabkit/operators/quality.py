@@ -95,8 +95,11 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.70) -> DataFrame:
 
 
 def iqr_fences(df: DataFrame, columns: Sequence[str], factor: float = 1.5, keys: Sequence[str] = ()) -> DataFrame:
-    """Per column the values beyond which a row is an outlier: (keys, column, q25, q75, lower, upper)."""
-    quartiles = quantiles_long(df, columns, {"q25": 0.25, "q75": 0.75}, keys)
+    """Per column the quartiles and the values beyond which a row is an outlier.
+
+    Columns: keys, column, q25, median, q75, lower, upper.
+    """
+    quartiles = quantiles_long(df, columns, {"q25": 0.25, "median": 0.5, "q75": 0.75}, keys)
     spread = factor * (F.col("q75") - F.col("q25"))
     return quartiles.withColumn("lower", F.col("q25") - spread).withColumn("upper", F.col("q75") + spread)
 
