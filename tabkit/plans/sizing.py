@@ -41,9 +41,9 @@ def rows_fit(stored: DataFrame, n: int) -> bool:
 
 
 def range_partitions(stored: DataFrame, n: int) -> int:
-    """How many range partitions ``n`` counted rows are cut into: about 128 MB each."""
+    """How many range partitions ``n`` counted rows are cut into: at most about 128 MB each."""
     default = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(default, n * _row_bytes(stored) // (128 * 1024 * 1024))
+    return max(min(default, n // 50_000 + 1), n * _row_bytes(stored) // (128 * 1024 * 1024))
 
 
 def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
