@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import sharding, token_output, topk, vector_packing
+from tabkit.llm import language_id, near_dedup, quality, sharding, token_output, topk, vector_packing
 from tabkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,18 @@ def op5_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_language_family(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_predictions(table(spark, folder, "documents"))
+
+
+def op7_quality_qda(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op8_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(table(spark, folder, "documents"))
+
+
 def op9_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
     dealt = sharding.stratified_shards(table(spark, folder, "documents"))
     return dealt.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
@@ -35,7 +47,10 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_token_output, op5_vector_packing, op9_stratified_shards, op10_exact_topk)
+    for f in (
+        op3_token_output, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
+        op9_stratified_shards, op10_exact_topk,
+    )
 }
 
 SQL: dict[str, str] = {
