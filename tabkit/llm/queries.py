@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import language_id, near_dedup, quality, sharding, token_output, topk, vector_packing
+from tabkit.llm import decontamination, language_id, near_dedup, quality, sharding, token_output, topk, vector_packing
 from tabkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,10 @@ def op3_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.packed_matrices(table(spark, folder, "documents"), TOKENIZER)
 
 
+def op4_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = vector_packing.pack_documents(table(spark, folder, "documents"), TOKENIZER)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -48,12 +52,36 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op3_token_output, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
+        op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
         op9_stratified_shards, op10_exact_topk,
     )
 }
 
 SQL: dict[str, str] = {
+    "op4_simhash_windows": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+), i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark
+), ds AS (
+  SELECT doc_id, len(w) AS n, p, list_slice(w, p + 1, p + 5) AS s FROM d, unnest(range(0, len(w) - 4)) AS t(p)
+), its AS (
+  SELECT item_id, len(w) AS n, p, list_slice(w, p + 1, p + 5) AS s FROM i, unnest(range(0, len(w) - 4)) AS t(p)
+), win AS (
+  SELECT DISTINCT ds.doc_id, its.item_id, greatest(0, ds.p - its.p) AS a, least(ds.n, ds.p - its.p + its.n) AS z, its.n AS n
+  FROM ds JOIN its ON ds.s = its.s
+), wc AS (
+  SELECT win.doc_id, win.item_id, a, z, win.n, ds.s, count(*) AS c
+  FROM win JOIN ds ON ds.doc_id = win.doc_id AND ds.p BETWEEN a AND z - 5 GROUP BY ALL
+), ic AS (SELECT item_id, s, count(*) AS c FROM its GROUP BY ALL), sim AS (
+  SELECT doc_id, wc.item_id, a, z, n, sum(least(wc.c, coalesce(ic.c, 0))) AS shared
+  FROM wc LEFT JOIN ic ON ic.item_id = wc.item_id AND ic.s = wc.s GROUP BY ALL
+), r AS (
+  SELECT doc_id, item_id, CAST(shared AS DOUBLE) / CAST(z - a - 4 + n - 4 - shared AS DOUBLE) AS similarity, a AS start FROM sim
+)
+SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_min(start, (-similarity, start)) AS INTEGER) AS start
+FROM r WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+""",
     "op10_exact_topk": """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS w
