@@ -121,3 +121,10 @@ def contaminated(
     checked = candidates.select("doc_id", "item_id", "start", share.alias("similarity")).where(F.col("similarity") >= similarity)
     best = checked.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
     return best.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose documents hold no benchmark item; rows with a null id stay."""
+    found = contaminated(docs, benchmark, id_column, text_column, **options)
+    leaks = store(found.select(F.col("doc_id").alias(id_column)).dropDuplicates(), "leaks")
+    return docs.join(leaks, id_column, "left_anti").select(docs.columns)

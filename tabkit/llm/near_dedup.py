@@ -216,3 +216,21 @@ def near_duplicate_classes(
     )
     own = sig.select("doc_id", "digest")
     return own.join(classes, "digest", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+
+
+def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``df``, all columns, without all but one document of each near-duplicate class.
+
+    The document with the least id stays. Rows that repeat a kept id are reduced to one row; rows with a
+    null id, and texts without words, stay.
+    """
+    classes = store(near_duplicate_classes(df, id_column, text_column, **options), "classes")
+    key = F.col("doc_id").cast(df.schema[id_column].dataType).alias(id_column)
+    extra = classes.where("class_id <> doc_id").select(key).dropDuplicates()
+    repeated = classes.where("class_id = doc_id").groupBy("doc_id").count().where("count > 1").select(key)
+    extra, repeated = store(extra, "extra"), store(repeated, "repeated")
+    if repeated.limit(1).count() == 0:
+        return df.join(extra, id_column, "left_anti").select(df.columns)
+    single = df.join(extra.union(repeated), id_column, "left_anti")
+    again = df.join(repeated, id_column, "left_semi").dropDuplicates([id_column])
+    return single.select(df.columns).unionByName(again.select(df.columns))
