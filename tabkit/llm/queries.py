@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import decontamination, language_id, near_dedup, quality, sharding, token_output, topk, vector_packing
+from tabkit.llm import decontamination, language_id, lm_scoring, near_dedup, quality, sharding, token_output, topk, vector_packing
 from tabkit.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, folder, "documents"))
+
+
 def op3_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.packed_matrices(table(spark, folder, "documents"), TOKENIZER)
 
@@ -52,7 +56,7 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
+        op1_gated_lm, op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
         op9_stratified_shards, op10_exact_topk,
     )
 }

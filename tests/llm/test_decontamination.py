@@ -19,14 +19,17 @@ def bag(words):
 def brute(docs, items, cut_at_ends, least=0.8):
     """Best window of every document and item: windows of the item's size inside the text, or also cut at its ends."""
     cut = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
-    out = {}
+    out, bags = {}, {}
     for d, text in docs:
         w = cut(text)
+        bags[d] = bag(w)
         for i, item in items:
             v = cut(item)
             if len(v) < 5 or len(w) < 5:
                 continue
             want = bag(v)
+            if not want.keys() & bags[d].keys():  # similarity 0 everywhere
+                continue
             for s in range(-len(v), len(w)) if cut_at_ends else range(max(1, len(w) - len(v) + 1)):
                 window = w[max(0, s) : s + len(v)] if s + len(v) > 0 else []
                 have = bag(window)

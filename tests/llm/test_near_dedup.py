@@ -31,8 +31,13 @@ def classes(texts, least=0.8):
             i = up[i]
         return i
 
-    for a, b in combinations(sorted(texts), 2):
-        if bags[a] and bags[b] and similarity(bags[a], bags[b]) >= least:
+    holders = {}
+    for i in sorted(texts):
+        for r in bags[i]:
+            holders.setdefault(r, []).append(i)
+    sharing = {p for ids in holders.values() for p in combinations(ids, 2)}  # others have similarity 0
+    for a, b in sorted(sharing):
+        if similarity(bags[a], bags[b]) >= least:
             x, y = sorted((root(a), root(b)))
             up[y] = x
     return {i: root(i) for i in texts}
