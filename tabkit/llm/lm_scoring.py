@@ -302,7 +302,7 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> GatedM
     """
     model = GatedModel(vocabulary)
 
-    def averaged(key, group: pa.Table) -> pa.Table:
+    def averaged(key, group):
         n = np.asarray(group["n"], float)
         total = sum(np.frombuffer(w, np.float32).astype(float) * k for w, k in zip(group["weights"].to_pylist(), n, strict=True))
         return pa.table({"part": pa.array([key[0].as_py() // FAN_IN], pa.int64()), "weights": [(total / n.sum()).astype(np.float32).tobytes()], "n": pa.array([int(n.sum())], pa.int64())})

