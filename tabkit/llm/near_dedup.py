@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.llm.bpe import text_chunks
@@ -18,6 +18,8 @@ SIMILARITY = 0.8
 #: Two texts of similarity 0.8 share no band with a probability of (1 - 0.8**5)**32, about 3 in a million.
 BANDS, ROWS = 32, 5
 _NONE = np.uint64(2**64 - 1)
+#: Rounds in which members outside a bucket's largest component try one member of it.
+TRIALS = 2
 #: Text bytes whose darts one task throws at a time.
 DART_BYTES = 8 << 20
 
@@ -110,23 +112,21 @@ def _cells_of(df: DataFrame, ids: DataFrame, id_column: str, text_column: str, w
     return texts.join(ids, "id", "left_semi").mapInArrow(run, "id long, cells binary")
 
 
-def _verified(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose exact weighted Jaccard similarity is at least ``least``."""
+def _similarities(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The exact weighted Jaccard similarity ``sim`` of every pair (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch["cells_a"], batch["cells_b"]
-            keep = []
+            sim = np.empty(batch.num_rows)
             for i in range(batch.num_rows):
                 x, y = np.frombuffer(left[i].as_buffer(), np.uint64), np.frombuffer(right[i].as_buffer(), np.uint64)
-                if min(len(x), len(y)) >= least * max(len(x), len(y)):
-                    same = common(x, y)
-                    if same >= least * (len(x) + len(y) - same):
-                        keep.append(i)
-            yield pa.record_batch({n: batch[n].take(pa.array(keep, pa.int64())) for n in ("a", "b")})
+                same = common(x, y)
+                sim[i] = same / (len(x) + len(y) - same)
+            yield pa.record_batch({"a": batch["a"], "b": batch["b"], "sim": pa.array(sim, pa.float64())})
 
     side = lambda s: known.select(F.col("id").alias(s), F.col("cells").alias(f"cells_{s}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long, sim double")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -152,6 +152,64 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets whose members are in several components, with the label of the bucket's largest."""
+    named = crowded.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = store(named, "buckets-named")
+    parts = named.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+    several = (
+        parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts"))
+        .where("parts > 1").select("bucket", F.col("top.label").alias("largest"))
+    )
+    return store(named.join(several, "bucket"), "buckets-open")
+
+
+def _alone(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """For each id, how many of its cells (``alone``) no other text of ``ids`` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cell = np.frombuffer(batch["cells"][i].as_buffer(), np.int64)
+                yield pa.record_batch({"cell": pa.array(cell), "id": pa.array(np.full(len(cell), batch["id"][i].as_py()), pa.int64())})
+
+    each = known.join(ids, "id", "left_semi").mapInArrow(run, "cell long, id long")
+    once = each.groupBy("cell").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+    counted = once.groupBy("id").agg(F.count("*").alias("alone"))
+    return ids.join(counted, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
+
+
+def _possible(similarity: float) -> Column:
+    """Whether texts x and y may be similar: cells that only one text has are in no intersection, and 1 - similarity is a metric."""
+    n = F.col("nx") + F.col("ny")
+    shared = F.least(F.col("nx") - F.col("ux"), F.col("ny") - F.col("uy"))
+    return (shared >= similarity / (1 + similarity) * n - 1e-6) & (F.abs(F.col("sx") - F.col("sy")) <= 1 - similarity + 1e-9)
+
+
+def _sides(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    names = (("id", ""), ("label", "l"), ("n", "n"), ("alone", "u"), ("sim", "s"))
+    side = lambda z: [F.col(c).alias(f"{p}{z}") for c, p in names]
+    rest = left.where("id <> lead").select("bucket", "largest", *side("y"))
+    return left.where("label <> largest AND id <> lead").select("bucket", *side("x")), rest
+
+
+def _one_each(left: DataFrame, seed: int, similarity: float) -> DataFrame:
+    """Each member outside the largest component with one member of it that shares most, another one in every bucket."""
+    stray, rest = _sides(left)
+    near = rest.where("ly = largest").groupBy("bucket").agg(
+        F.min(F.struct("uy", F.xxhash64("bucket", "y", F.lit(seed)).alias("draw"), "y", "ny", "sy")).alias("t")
+    )
+    pairs = stray.join(near.select("bucket", "t.y", "t.ny", "t.uy", "t.sy"), "bucket").where(_possible(similarity))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).dropDuplicates()
+
+
+def _all_left(left: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of a bucket that are still in different components and may be similar."""
+    stray, rest = _sides(left)
+    pairs = stray.join(rest, "bucket").where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("largest")) | (F.col("x") < F.col("y"))))
+    return pairs.where(_possible(similarity)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).dropDuplicates()
+
+
 def near_duplicate_classes(
     df: DataFrame,
     id_column: str = "doc_id",
@@ -167,9 +225,10 @@ def near_duplicate_classes(
     least ``similarity``; a class is a connected component and its id the least document id in it.
 
     Equal word sequences are first reduced to one text. Texts that share a band of the signature are candidates: every member of a
-    bucket is compared with the bucket's least id; then, in buckets whose members are not yet all in one component, every
-    member outside the bucket's largest component is compared with all members of other components. So every pair of
-    a bucket either is compared or already is in one component, without comparing all pairs of a large class.
+    bucket is compared with the bucket's least id. In buckets whose members are not yet all in one component, members
+    outside the largest one are then compared with one member of it, ``TRIALS`` times; at last with all members of other components
+    that neither their unshared shingles nor the triangle inequality rule out. So every pair of a bucket is compared, ruled out, or already in
+    one component, without comparing all pairs of a large class.
 
     Rows with null id, or null, empty or blank text, are classes of their own. Rows that repeat an id count as one
     document with all its texts. No rows give no rows. Other columns are ignored.
@@ -184,32 +243,27 @@ def near_duplicate_classes(
     crowds = members.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
     crowded = store(members.join(crowds.select("bucket", "lead"), "bucket"), "buckets")
 
-    lead = crowded.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).dropDuplicates()
-    lead = store(lead, "pairs")
     involved = crowded.select("id").dropDuplicates()
     known = store(_cells_of(df, involved, id_column, text_column, width), "cells")
-    edges = store(_verified(lead, known, similarity), "edges")
+    lead = crowded.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).dropDuplicates()
+    to_lead = store(_similarities(lead, known), "similarities")
+    edges = to_lead.where(F.col("sim") >= similarity).select("a", "b")
     labels = components(edges)
-
-    named = crowded.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    named = store(named, "buckets-named")
-    parts = named.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-    mixed_up = (
-        parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts"))
-        .where("parts > 1").select("bucket", F.col("top.label").alias("largest"))
-    )
-    open_ = store(named.join(mixed_up, "bucket").where("id <> lead"), "buckets-open")
-    stray = open_.where("label <> largest").select("bucket", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"))
-    rest = open_.select("bucket", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"), "largest")
-    more = (
-        stray.join(rest, "bucket")
-        .where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("largest")) | (F.col("x") < F.col("y"))))
-        .where(F.least("nx", "ny") >= similarity * F.greatest("nx", "ny"))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .dropDuplicates()
-    )
-    found = store(_verified(more, known, similarity), "edges")
-    labels = components(edges.union(found)) if found.limit(1).count() else labels
+    left = _unsettled(crowded, labels).drop("label", "largest")
+    unshared = _alone(left.select("id").dropDuplicates(), known)
+    own = to_lead.select(F.col("a").alias("lead"), F.col("b").alias("id"), "sim")
+    most = F.col("n") - F.col("alone") >= similarity * F.col("n") - 1e-6  # else no text can be similar to it
+    left = left.join(unshared, "id").where(most | (F.col("id") == F.col("lead")))
+    crowded = store(left.join(own, ["lead", "id"], "left"), "buckets-left")
+    for seed in range(TRIALS + 1):
+        left = _unsettled(crowded, labels)
+        if not left.limit(1).count():
+            break
+        pairs = _one_each(left, seed, similarity) if seed < TRIALS else _all_left(left, similarity)
+        found = store(_similarities(pairs, known).where(F.col("sim") >= similarity), "edges").select("a", "b")
+        if found.limit(1).count():
+            edges = edges.union(found)
+            labels = components(edges)
 
     classes = firsts.join(labels, firsts["rep"] == labels["id"], "left").select(
         "digest", F.coalesce("label", "rep").alias("class_id")
