@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import decontamination, language_id, lm_scoring, near_dedup, quality, sharding, token_output, topk, vector_packing
-from tabkit.llm.common import table
+from tabkit.llm import chat_format, decontamination, language_id, lm_scoring, near_dedup, quality, sharding, token_output, topk, vector_packing
+from tabkit.llm.common import id_remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,6 +18,13 @@ def op1_gated_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, folder, "documents"))
 
 
+def op2_chat_hmm(spark: SparkSession, folder: str) -> DataFrame:
+    """Transcripts in mixed marker styles made of all conversations; the model is fitted on four of five of them."""
+    raw = chat_format.as_transcript(table(spark, folder, "conversations"))
+    known = chat_format.transcript_lines(raw.where(id_remainder("conv_id", 5) != 2), "conv_id", "turn", "text", "role")
+    return chat_format.canonical_turns(raw, chat_format.fit_chat_model(known))
+
+
 def op3_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.packed_matrices(table(spark, folder, "documents"), TOKENIZER)
 
@@ -56,7 +63,7 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_gated_lm, op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
+        op1_gated_lm, op2_chat_hmm, op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
         op9_stratified_shards, op10_exact_topk,
     )
 }
