@@ -93,10 +93,9 @@ class ChatModel:
         for f, size in enumerate(FEATURES):
             base = np.full((STATES, size), 0.5)
             if f == 0:
-                base[:, 0] = 5.0
+                base[:, 0], base[:, 1:] = 5.0, 0.01  # a marker is nearly always true
                 for i in range(len(ROLES)):
                     base[2 * i, i + 1] = 5.0
-                    base[2 * i + 1, 1:] = 0.01
             if f == 1:
                 base[::2], base[1::2] = (4.0, 4.0), (5.0, 0.1)
             base = base + (features[f] if features is not None else 0)
