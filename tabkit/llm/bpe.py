@@ -7,6 +7,7 @@ the library's BPE model; every other word goes through the library's full tokeni
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from functools import lru_cache
@@ -16,9 +17,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words kept by a Python worker; when more would be needed the memory is emptied and refilled.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 #: Text bytes that are encoded at a time.
 CHUNK_BYTES = 4 << 20
+#: What a row counts besides its text; bounds the rows of a slice of short texts.
+ROW_BYTES = 1_024
 
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ0-9!-/:-@\\[-`{-~]+").fullmatch
 #: The vocabulary's pre-token rule, for lower-case text of these characters (fixed value).
@@ -124,14 +127,31 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """glibc's way to hand freed memory back; None where there is none."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that idle Python workers do not hold what one batch needed."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
-    """Slices of a batch with at most ``limit`` bytes of text, or a single row."""
-    sizes = np.asarray(pc.binary_length(batch[column].fill_null("")), np.int64)
+    """Slices of a batch with at most ``limit`` bytes of text, counting each row as ``ROW_BYTES`` more, or a single row."""
+    sizes = np.asarray(pc.binary_length(batch[column].fill_null("")), np.int64) + ROW_BYTES
     part = (np.cumsum(sizes) - sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def ended(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ STREAMS, STEPS, ROUNDS = 256, 16, 4
 RATE = 0.1
 #: Scoring: steps of a window; the state goes on from window to window.
 SCORE_STEPS = 32
-COUNT_BYTES, TRAIN_BYTES, SCORE_BYTES = 16 << 20, 8 << 20, 12 << 20
+COUNT_BYTES, TRAIN_BYTES, SCORE_BYTES = 12 << 20, 8 << 20, 10 << 20
 #: Weights stay within this range; states are within (-1, 1), so that exponentials cannot overflow.
 LARGEST = 4.0
 #: Weights averaged by one task.

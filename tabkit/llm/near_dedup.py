@@ -21,7 +21,7 @@ _NONE = np.uint64(2**64 - 1)
 #: Rounds in which members outside a bucket's largest component try one member of it.
 TRIALS = 2
 #: Text bytes whose darts one task throws at a time.
-DART_BYTES = 8 << 20
+DART_BYTES = 4 << 20
 
 
 def dart_signatures(cell: np.ndarray, until: np.ndarray, size: int) -> np.ndarray:
