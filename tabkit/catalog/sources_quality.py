@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabkit.catalog.registry import Tables, query
 from tabkit.operators import features, quality, relational
@@ -34,6 +34,25 @@ def _(t: Tables) -> DataFrame:
     return src.read_csv(t.spark, path)
 
 
+@query("src_csv_text", "SELECT doc_id, text, lang FROM documents")
+def _(t: Tables) -> DataFrame:
+    """Texts with line breaks, through a file and back."""
+    docs = t.documents.select("doc_id", "text", "lang")
+    path = src.write_csv(docs, scratch_path(t.spark, "texts_csv"))
+    return src.read_csv(t.spark, path, schema=docs.schema, multi_line=True)
+
+
+@query(
+    "src_cached_join_again",
+    """SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def _(t: Tables) -> DataFrame:
+    """The second call finds the finished cache and does not look at its inputs."""
+    path = scratch_path(t.spark, "documents_labels")
+    src.cached_join(t.documents.select("doc_id", "lang"), t.labels, "doc_id", path)
+    return src.cached_join(t.documents.select("doc_id", "lang").limit(0), None, "doc_id", path)
+
+
 @query(
     "src_cached_join",
     """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
@@ -235,16 +254,26 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+_PLACE = "'s' || (doc_id % 3) || '/{kind}/' || (doc_id // 3)"
+
+
 @query(
     "dq_drop_empty_pairs",
-    """SELECT d.lang || '/images/' || d.doc_id || '.jpg' AS path, d.n_chars AS size,
+    f"""SELECT {_PLACE.format(kind="images")} || '.jpg' AS path, n_chars AS size,
               (SELECT count(*) FROM documents JOIN labels USING (doc_id) WHERE toxic = 1) AS removed
        FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
 )
 def _(t: Tables) -> DataFrame:
-    files = _files(t)
-    images = files.filter(F.col("kind") == "image").select("path", "size")
-    clean, removed = quality.drop_empty_pairs(images, files.filter(F.col("kind") == "label"))
+    """Every stem occurs in all three splits."""
+
+    def place(kind: str, suffix: str) -> Column:
+        stem = F.floor(F.col("doc_id") / 3).cast("string")
+        return F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string"), F.lit(f"/{kind}/"), stem, F.lit(suffix))
+
+    images = t.documents.select(place("images", ".jpg").alias("path"), F.col("n_chars").alias("size"))
+    size = F.when(F.col("toxic") == 1, 0).otherwise(20)
+    labels = t.documents.join(t.labels, "doc_id").select(place("labels", ".txt").alias("path"), size.alias("size"))
+    clean, removed = quality.drop_empty_pairs(images, labels)
     return clean.withColumn("removed", removed.scalar())
 
 
@@ -349,7 +378,14 @@ def _(t: Tables) -> DataFrame:
     return relational.random_pairs(t.embeddings.select("vec_id", "label"), ["vec_id"], seed=7)
 
 
-@query("prof_schema")
+@query(
+    "prof_schema",
+    """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS name,
+              CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+                   WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS dtype,
+              (SELECT count(*) FROM lineitem) AS n_rows, CAST(count(*) OVER () AS INTEGER) AS n_columns
+       FROM (DESCRIBE lineitem)""",
+)
 def _(t: Tables) -> DataFrame:
     return relational.schema_listing(t.lineitem)
 

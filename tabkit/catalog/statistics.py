@@ -395,7 +395,7 @@ def _(t: Tables) -> DataFrame:
        FROM lineitem, s GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
-    return charts.chart_data(t.lineitem, "scatter", x="l_quantity", y="l_extendedprice", color_by="l_returnflag")
+    return charts.chart_data(t.lineitem, "scatter_grid", x="l_quantity", y="l_extendedprice", color_by="l_returnflag")
 
 
 @query("viz_bar_count", "SELECT p_type, count(*) AS count FROM part GROUP BY p_type")
@@ -408,8 +408,24 @@ def _(t: Tables) -> DataFrame:
     return charts.bar(t.part, "p_brand", "p_retailprice", "median")
 
 
+@query(
+    "viz_scatter",
+    "SELECT l_quantity, l_extendedprice, l_returnflag FROM lineitem",
+)
+def _(t: Tables) -> DataFrame:
+    return charts.chart_data(t.lineitem, "scatter", x="l_quantity", y="l_extendedprice", color_by="l_returnflag")
+
+
 @query(
     "viz_line",
+    """SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS x, o_totalprice AS y FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    return charts.line(t.orders, "o_orderdate", "o_totalprice", "o_orderstatus").withColumn("x", F.date_format("x", "yyyy-MM-dd"))
+
+
+@query(
+    "viz_line_buckets",
     """WITH x AS (SELECT o_orderstatus, epoch_us(o_orderdate)::DOUBLE AS p, strftime(o_orderdate, '%Y-%m-%d') AS d,
                          sqrt(o_totalprice) AS y FROM orders), s AS (SELECT min(p) AS lo, max(p) AS hi FROM x)
        SELECT o_orderstatus, min(d) AS x, max(d) AS x_last, round(avg(y), 6) AS y, count(*) AS n
@@ -417,7 +433,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     rows = t.orders.withColumn("root_price", F.sqrt("o_totalprice"))
-    out = charts.line(rows, "o_orderdate", "root_price", "o_orderstatus", cap=1000)
+    out = charts.line_buckets(rows, "o_orderdate", "root_price", "o_orderstatus")
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("x", "x_last")})
 
 

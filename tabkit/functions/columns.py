@@ -48,6 +48,11 @@ def missing(df: DataFrame, column: str) -> Column:
     return c.isNull()
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null, so that aggregates skip it."""
+    return F.when(~missing(df, column), F.col(f"`{column}`"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN counts as missing everywhere; one projection makes it null."""
     floats = set(columns_of(df, T.DoubleType, T.FloatType))

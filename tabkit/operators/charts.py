@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabkit.errors import InvalidArgumentsError
 from tabkit.functions.columns import missing, require_columns
@@ -12,8 +12,6 @@ from tabkit.operators import stats
 from tabkit.operators.quality import iqr_fences
 from tabkit.plans.sizing import lookup_side
 
-#: Above this many rows a scatter or line chart shows aggregated cells instead of rows.
-POINT_CAP = 5_000
 
 
 def _span(df: DataFrame, value: Column) -> Column:
@@ -56,8 +54,8 @@ def histogram(
 def density(df: DataFrame, column: str, by: str, bins: int = 30) -> DataFrame:
     """Binned density of each population, on common bins so that curves can be laid over each other."""
     counts = histogram(df, column, by, bins)
-    totals = counts.groupBy(by).agg(F.sum("n").alias("__n"))
-    return counts.join(lookup_side(totals), by).select(
+    totals = lookup_side(counts.groupBy(F.col(by).alias("__by")).agg(F.sum("n").alias("__n")))
+    return counts.join(totals, F.col(by).eqNullSafe(F.col("__by"))).select(
         by, "bin", "left", "right",
         F.round(F.try_divide("n", F.col("__n") * (F.col("right") - F.col("left"))), 6).alias("density"),
     )
@@ -94,7 +92,7 @@ def scatter_grid(df: DataFrame, x: str, y: str, color_by: str | None = None, cel
     require_columns(df, [x, y, color_by])
     keys = [color_by] if color_by else []
     rows = df.filter(~missing(df, x) & ~missing(df, y)).select(
-        *keys, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")
+        *keys, _position(df, x, x).alias("__x"), _position(df, y, y).alias("__y")
     )
     sx, sy = _span(rows, F.col("__x")), _span(rows, F.col("__y"))
     return rows.groupBy(
@@ -102,14 +100,11 @@ def scatter_grid(df: DataFrame, x: str, y: str, color_by: str | None = None, cel
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def scatter(df: DataFrame, x: str, y: str, color_by: str | None = None, cap: int = POINT_CAP) -> DataFrame:
-    """All points while there are at most ``cap``; otherwise the grid of :func:`scatter_grid`."""
+def scatter(df: DataFrame, x: str, y: str, color_by: str | None = None) -> DataFrame:
+    """All points, whatever their number; :func:`scatter_grid` has counts of cells instead."""
     require_columns(df, [x, y, color_by])
     columns = list(dict.fromkeys([x, y] + ([color_by] if color_by else [])))
-    points = df.select(*columns).filter(~missing(df, x) & ~missing(df, y))
-    if points.limit(cap + 1).count() <= cap:
-        return points
-    return scatter_grid(df, x, y, color_by)
+    return df.select(*columns).filter(~missing(df, x) & ~missing(df, y))
 
 
 def bar(df: DataFrame, category: str, value: str | None = None, agg: str = "count") -> DataFrame:
@@ -124,19 +119,32 @@ def bar(df: DataFrame, category: str, value: str | None = None, agg: str = "coun
     return grouped.select(category, F.col("value").cast("double").alias(value)).orderBy(category)
 
 
-def line(
-    df: DataFrame, x: str, y: str, color_by: str | None = None, buckets: int = 200, cap: int = POINT_CAP
-) -> DataFrame:
-    """Points sorted by x; beyond ``cap`` rows the mean of y per bucket of x, with the bucket's range."""
+def line(df: DataFrame, x: str, y: str, color_by: str | None = None) -> DataFrame:
+    """All points sorted by x, whatever their number; :func:`line_buckets` has means of ranges instead."""
+    require_columns(df, [x, y, color_by])
+    keys = [color_by] if color_by else []
+    rows = df.filter(~missing(df, x)).select(*keys, F.col(x).alias("x"), F.col(y).cast("double").alias("y"))
+    return rows.orderBy("x", "y", *keys)
+
+
+def _position(df: DataFrame, column: str, name: str) -> Column:
+    """A number that orders an axis: the value, microseconds of a time, days of a date."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    raise InvalidArgumentsError(f"{column!r} is neither a number nor a time, so its axis has no ranges")
+
+
+def line_buckets(df: DataFrame, x: str, y: str, color_by: str | None = None, buckets: int = 200) -> DataFrame:
+    """The mean of y per bucket of x, with the bucket's range. ``x`` is a number, a date or a time."""
     require_columns(df, [x, y, color_by])
     keys = [color_by] if color_by else []
-    rows = df.select(*keys, F.col(x).alias("x"), F.col(y).cast("double").alias("y")).filter(F.col("x").isNotNull())
-    if rows.limit(cap + 1).count() <= cap:
-        return rows.select(*keys, "x", F.col("x").alias("x_last"), "y", F.lit(1).cast("long").alias("n")).orderBy("x")
-    kind = df.schema[x].dataType.typeName()
-    instant = kind in ("timestamp", "timestamp_ntz")
-    position = F.unix_micros(F.col("x").cast("timestamp")) if instant else F.unix_date("x") if kind == "date" else F.col("x")
-    position = position.cast("double")
+    rows = df.filter(~missing(df, x)).select(*keys, F.col(x).alias("x"), F.col(y).cast("double").alias("y"))
+    position = _position(df, x, "x")
     span = _span(rows, position)
     return (
         rows.groupBy(*keys, _bin(position, span, buckets).alias("__bin"))
@@ -172,8 +180,10 @@ CHARTS: dict[str, Callable[..., DataFrame]] = {
     "histogram": histogram,
     "box": box,
     "scatter": scatter,
+    "scatter_grid": scatter_grid,
     "bar": bar,
     "line": line,
+    "line_buckets": line_buckets,
     "correlation_heatmap": correlation_heatmap,
     "category_comparison": category_comparison,
 }

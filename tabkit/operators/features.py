@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
-from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, missing, numeric_columns, require_columns
+from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, known, missing, numeric_columns, require_columns
 from tabkit.plans.ordered import dense_codes, digest_cuts, quantiles_long, row_digest, running_totals
 from tabkit.plans.sizing import lookup_side
 
@@ -142,7 +142,8 @@ def standardize(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
     require_columns(df, columns)
     base = df if fit_on is None else fit_on
     stats = base.agg(
-        *[F.avg(c).alias(f"{c}__mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}__std") for c in columns]
+        *[F.avg(known(base, c)).alias(f"{c}__mean") for c in columns],
+        *[F.stddev_pop(known(base, c)).alias(f"{c}__std") for c in columns],
     ).first()
     return df.withColumns(
         {c: (F.col(c) - F.lit(stats[f"{c}__mean"])) / F.lit(stats[f"{c}__std"] or 1.0) for c in columns}

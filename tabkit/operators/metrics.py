@@ -272,6 +272,9 @@ def pick_variant(
     predictions: DataFrame, label: str, score: str, variant: str, preferred: str, keys: Sequence[str] = ()
 ) -> DataFrame:
     """The score variant with the higher AUC; the preferred one wins a draw."""
-    areas = roc_auc(predictions, label, score, [*keys, variant])
+    table = score_table(predictions, label, score, [*keys, variant])
+    areas = table.groupBy(*keys, variant).agg(_auc(0.5).alias("roc_auc"))
     order = F.struct("roc_auc", F.col(variant) == preferred)
-    return areas.groupBy(*keys).agg(F.max_by(variant, order).alias(variant), F.max("roc_auc").alias("roc_auc"))
+    return areas.groupBy(*keys).agg(
+        F.max_by(variant, order).alias(variant), F.round(F.max("roc_auc"), 6).alias("roc_auc")
+    )

@@ -112,7 +112,9 @@ def iqr_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     fences = {r["column"]: r for r in iqr_fences(df, names).collect()}
     counts = df.agg(
         *[
-            F.count_if((F.col(c) < F.lit(fences[c]["lower"])) | (F.col(c) > F.lit(fences[c]["upper"]))).alias(
+            F.count_if(
+                ~missing(df, c) & ((F.col(c) < F.lit(fences[c]["lower"])) | (F.col(c) > F.lit(fences[c]["upper"])))
+            ).alias(
                 f"{c}__outliers"
             )
             for c in names
@@ -140,20 +142,28 @@ def stem_of(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
+def split_of(path: Column) -> Column:
+    """What stands before the last ``images`` or ``labels`` folder of a path; empty without such a folder."""
+    return F.regexp_extract(path, r"^(.*)(?:^|/)(?:images|labels)/[^/]*$", 1)
+
+
 def drop_empty_pairs(images: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean manifest, and the count of removed images.
 
-    ``images`` has a path, ``labels`` a path and a size. An image goes if its label file is empty;
-    when a stem has several image files only the first existing of .jpg, .jpeg, .png goes. An image
-    without a label file stays.
+    ``images`` has a path, ``labels`` a path and a size; files belong together if split and stem are equal. An
+    image goes if its label file is empty; when a stem has several image files only the first existing of
+    .jpg, .jpeg, .png goes. An image without a label file stays.
     """
+    pair = ["__split", "__stem"]
     preference = F.array_position(F.array(F.lit("jpg"), F.lit("jpeg"), F.lit("png")), F.col("__suffix"))
-    tagged = images.withColumn("__stem", stem_of(F.col("path"))).withColumn(
-        "__suffix", F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    )
-    empty = labels.filter(F.col("size") == 0).select(stem_of(F.col("path")).alias("__stem")).distinct()
-    hit = tagged.filter(preference > 0).join(empty, "__stem", "left_semi")
-    removed = hit.groupBy("__stem").agg(F.min_by("path", preference).alias("path"))
+    path = F.col("path")
+    tagged = images.select(
+        "path", split_of(path).alias("__split"), stem_of(path).alias("__stem"),
+        F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("__suffix"),
+    )
+    empty = labels.filter(F.col("size") == 0).select(split_of(path).alias("__split"), stem_of(path).alias("__stem")).distinct()
+    hit = tagged.filter(preference > 0).join(empty, pair, "left_semi")
+    removed = hit.groupBy(*pair).agg(F.min_by("path", preference).alias("path"))
     clean = images.join(removed.select("path"), "path", "left_anti")
     return clean, removed.agg(F.count(F.lit(1)).alias("removed"))
 
@@ -178,29 +188,38 @@ def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def apply_retention(log: DataFrame, now: datetime | Column, days: int = 90, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
+def apply_retention(
+    log: DataFrame, now: datetime | Column, days: int = 90, ts: str = "ts", date: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows young enough to stay, and one row with the counts of kept and removed rows.
 
-    The filter prunes date partitions when the log is partitioned by a column derived from ``ts``.
+    ``date`` names a partition column that holds the date of ``ts``: older partitions are then not read for
+    the rows that stay. The counts need the whole log.
     """
     limit = (now if isinstance(now, Column) else F.lit(now)) - F.make_interval(days=F.lit(days))
     expired = F.col(ts) < limit
     counts = log.agg(
         F.count_if(~expired | expired.isNull()).alias("kept"), F.count_if(expired).alias("removed")
     )
-    return log.filter(~expired | expired.isNull()), counts
+    stays = log.filter(~expired | expired.isNull())
+    if date is not None:
+        stays = stays.filter((F.col(date) >= limit.cast("date")) | F.col(date).isNull())
+    return stays, counts
 
 
 def near_ties(df: DataFrame, score: str, tolerance: float = 1e-4, partitions: int | None = None) -> DataFrame:
     """Groups of scores closer than ``tolerance`` to the first score of their group.
 
-    Result: (anchor, n_scores, n_rows) for groups of two rows and more. The first score of a group
+    Result: (anchor, n_scores, n_rows) for groups of two rows and more. Null, NaN and infinite scores are in
+    no group. The first score of a group
     depends on the group before it, all the way down. Distinct scores are therefore range-partitioned;
     every partition reports, for each possible first anchor near its start, where its last group
     opens. The driver links these few numbers, and a second pass marks all partitions at once.
     """
     require_columns(df, [score])
-    distinct = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+    value = F.col(score).cast("double")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    distinct = df.filter(finite).groupBy(value.alias("score")).agg(
         F.count(F.lit(1)).alias("rows")
     )
     if partitions is None:
@@ -215,7 +234,8 @@ def near_ties(df: DataFrame, score: str, tolerance: float = 1e-4, partitions: in
         # rounding in value + tolerance must not contradict the test score - anchor < tolerance
         step = np.where((step < len(values)) & (values[at] - values < tolerance), step + 1, step)
         back = np.maximum(step - 1, 0)
-        return np.where((back > np.arange(len(values))) & (values[back] - values >= tolerance), back, step)
+        step = np.where((back > np.arange(len(values))) & (values[back] - values >= tolerance), back, step)
+        return np.maximum(step, np.arange(len(values)) + 1)
 
     def exits(pdf: pd.DataFrame) -> pd.DataFrame:
         values = np.sort(pdf["score"].to_numpy())

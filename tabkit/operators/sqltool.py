@@ -38,6 +38,15 @@ class SqlResult:
     def columns(self) -> list[str]:
         return self.rows.columns
 
+    def record(self) -> dict:
+        """Query, columns, rows, row_count and truncated; one job, at most ``max_rows`` rows."""
+        found = [r.asDict(recursive=True) for r in self.probe.collect()]
+        rows = found[: self.max_rows]
+        return {
+            "query": self.query, "columns": self.columns, "rows": rows,
+            "row_count": len(rows), "truncated": len(found) > self.max_rows,
+        }
+
     def summary(self) -> DataFrame:
         """One row (row_count, truncated); never counts beyond the cap."""
         seen = self.probe.agg(F.count(F.lit(1)).alias("n"))

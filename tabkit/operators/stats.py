@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
-from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, missing, numeric_columns, pearson, require_columns, stack_rows
+from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, known, missing, numeric_columns, pearson, require_columns, stack_rows
 from tabkit.plans.ordered import quantiles_long
 from tabkit.plans.sizing import MAX_BROADCAST_ROWS
 
@@ -209,7 +209,7 @@ def correlation_with_target(df: DataFrame, target: str, features: Sequence[str]
     require_columns(df, [target])
     names = [c for c in (features or numeric_columns(df)) if c != target]
     require_columns(df, names)
-    wide = df.agg(*[pearson(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"{c}__r") for c in names])
+    wide = df.agg(*[pearson(known(df, c).cast("double"), known(df, target).cast("double")).alias(f"{c}__r") for c in names])
     long = stack_rows(wide, names, ["r"]).select(F.col("column").alias("feature"), F.round("r", 4).alias("r"))
     return long.orderBy(F.desc(F.abs("r")), "feature")
 
@@ -252,7 +252,7 @@ def mean_by_group(df: DataFrame, group_by: str, target: str) -> DataFrame:
     require_columns(df, [group_by, target])
     return (
         df.groupBy(group_by)
-        .agg(F.round(F.avg(target), 4).alias("mean"), F.count(F.lit(1)).alias("n"))
+        .agg(F.round(F.avg(known(df, target)), 4).alias("mean"), F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("mean"), group_by)
     )
 
@@ -293,4 +293,4 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 def column_means(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
     """Mean of each metric column over all runs."""
     require_columns(df, columns)
-    return df.agg(*[F.round(F.avg(c), digits).alias(c) for c in columns])
+    return df.agg(*[F.round(F.avg(known(df, c)), digits).alias(c) for c in columns])

@@ -22,7 +22,7 @@ MIN_LANGUAGE_CHARS = 20
 LANGUAGE_CONFIDENCE = 0.7
 INTENT_CONFIDENCE = 0.75
 FALLBACK = "Sorry, I did not understand the question."
-ENGLISH_ONLY = "Please ask in English."
+ENGLISH_ONLY = "This service answers messages in English."
 FAILED = "Something went wrong, please try again."
 
 

@@ -23,9 +23,17 @@ class ToolResult:
     data: DataFrame | None = None
     error: str | None = None
 
+    def page(self, limit: int = sqltool.MAX_ROWS) -> dict:
+        """``columns``, at most ``limit`` ``rows`` as dictionaries, their ``row_count``, and whether more were ``truncated``."""
+        if self.data is None:
+            return {"columns": [], "rows": [], "row_count": 0, "truncated": False}
+        found = [r.asDict(recursive=True) for r in self.data.limit(limit + 1).collect()]
+        rows = found[:limit]
+        return {"columns": self.data.columns, "rows": rows, "row_count": len(rows), "truncated": len(found) > limit}
+
     def records(self, limit: int = sqltool.MAX_ROWS) -> list[dict]:
-        """At most ``limit`` rows as plain dictionaries."""
-        return [] if self.data is None else [r.asDict(recursive=True) for r in self.data.limit(limit).collect()]
+        """The rows of a :meth:`page`."""
+        return self.page(limit)["rows"]
 
     def summary(self) -> str:
         """Start of the first row as JSON, or the error."""
@@ -66,7 +74,8 @@ class Toolbox:
         raise InvalidArgumentsError(f"unknown operation or missing arguments: {operation!r}")
 
     def run_sql(self, query: str) -> DataFrame:
-        return sqltool.run_sql(self.df, query).rows
+        """Up to one row more than a page holds, so that the page can tell whether it is whole."""
+        return sqltool.run_sql(self.df, query).probe
 
     def create_visualization(self, chart_type: str, **arguments) -> DataFrame:
         return charts.chart_data(self.df, chart_type, **arguments)

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
-from tabkit.functions.columns import stack_rows
+from tabkit.functions.columns import columns_of, stack_rows
 from tabkit.plans.sizing import (
     MAX_BROADCAST_ROWS,
     TINY_BYTES,
@@ -299,9 +299,18 @@ def _ranked_quantiles(
 
 
 def row_digest(df: DataFrame, seed: int, key: Sequence[str] | None = None) -> Column:
-    """A reproducible pseudo-random hex string per row, from its key (or from all its columns)."""
+    """A reproducible pseudo-random hex string per row, from its key (or from all its columns).
+
+    Fields are joined by ``|``; within texts, ``|`` and backslashes are escaped, so that different rows never join alike.
+    """
     names = list(key) if key else df.columns
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in names]
+    texts = set(columns_of(df, T.StringType))
+    parts = []
+    for c in names:
+        text = F.col(f"`{c}`").cast("string")
+        if c in texts or isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        parts.append(F.coalesce(text, F.lit("\\N")))
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 

@@ -27,11 +27,11 @@ def test_encodings(spark):
     assert rows_of(df.select(features.ordinal("s", {"a": 1, "b": 2}))) == [(1,), (2,), (2,), (None,)]
 
 
-def test_usable_features(spark, churn):
-    assert "customer_id" not in features.usable_features(churn, "churn")
-    ids = churn.select("customer_id", "churn")
+def test_usable_features(spark, trips):
+    assert "trip" not in features.usable_features(trips, "late")
+    ids = trips.select("trip", "late")
     with pytest.raises(errors.InsufficientDataError):
-        features.usable_features(ids, "churn")
+        features.usable_features(ids, "late")
 
 
 def test_problem_type(spark):

@@ -8,14 +8,14 @@ def kinds(df, order_by=None):
     return {r["name"]: r["column_type"] for r in profiling.column_types(df, order_by).collect()}
 
 
-def test_churn_types(churn):
-    assert kinds(churn, ["customer_id"]) == {
-        "customer_id": "text",
-        "contract": "categorical",
-        "tenure": "numeric",
-        "monthly_charges": "numeric",
-        "signup_date": "datetime",
-        "churn": "categorical",
+def test_trip_types(trips):
+    assert kinds(trips, ["trip"]) == {
+        "trip": "text",
+        "pier": "categorical",
+        "wait": "numeric",
+        "fare": "numeric",
+        "day": "datetime",
+        "late": "categorical",
     }
 
 
@@ -42,22 +42,22 @@ def test_sparse_columns_are_searched_in_the_whole_table(spark):
     assert got == {"id": ["0", "1", "2"], "late": ["991", "992", "993"]}
 
 
-def test_profile_columns(churn):
-    profile = {r["name"]: r for r in profiling.profile_columns(churn, ["customer_id"]).collect()}
-    charges = profile["monthly_charges"]
-    assert charges["missing_count"] == 3 and charges["missing_pct"] == 2.48
+def test_profile_columns(trips):
+    profile = {r["name"]: r for r in profiling.profile_columns(trips, ["trip"]).collect()}
+    charges = profile["fare"]
+    assert charges["missing_count"] == 4 and charges["missing_pct"] == 2.65
     assert set(charges["numeric_summary"]) == {"mean", "std", "min", "p25", "median", "p75", "max"}
-    assert sum(profile["contract"]["top_categories"].values()) == 121
-    assert profile["customer_id"]["sample_values"] == ["C0000", "C0000", "C0001"]
-    assert profile["customer_id"]["numeric_summary"] is None
+    assert sum(profile["pier"]["top_categories"].values()) == 151
+    assert profile["trip"]["sample_values"] == ["T0000", "T0000", "T0001"]
+    assert profile["trip"]["numeric_summary"] is None
 
 
-def test_profile_dataset_and_text(churn):
-    row = profiling.profile_dataset(churn, ["customer_id"]).first()
-    assert (row["n_rows"], row["n_columns"], row["duplicate_row_count"]) == (121, 6, 1)
-    assert row["possible_target_columns"] == ["contract", "churn"]
-    text = profiling.profile_text(churn, ["customer_id"]).first()["summary"]
-    assert "121 rows, 6 columns, 1 duplicate rows" in text and "monthly_charges (2.48%)" in text
+def test_profile_dataset_and_text(trips):
+    row = profiling.profile_dataset(trips, ["trip"]).first()
+    assert (row["n_rows"], row["n_columns"], row["duplicate_row_count"]) == (151, 6, 1)
+    assert row["possible_target_columns"] == ["pier", "late"]
+    text = profiling.profile_text(trips, ["trip"]).first()["summary"]
+    assert "151 rows, 6 columns, 1 duplicate rows" in text and "fare (2.65%)" in text
 
 
 @pytest.mark.parametrize("name,hit", [("is_fraud", True), ("Class", True), ("classes", False), ("amount", False)])

@@ -37,11 +37,11 @@ def test_duplicates_count_nulls_as_equal(spark):
         spark.conf.unset("spark.tabkit.smallBytes")
 
 
-def test_null_counts_see_nan(spark, churn):
+def test_null_counts_see_nan(spark, trips):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "a double")
     assert quality.null_counts(df).first()["missing"] == 2
-    counts = {r["column"]: r["missing"] for r in quality.null_counts(churn).collect()}
-    assert counts["monthly_charges"] == 3 and counts["tenure"] == 0
+    counts = {r["column"]: r["missing"] for r in quality.null_counts(trips).collect()}
+    assert counts["fare"] == 4 and counts["wait"] == 0
 
 
 def test_sparse_threshold_is_strict(spark):

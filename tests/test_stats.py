@@ -7,10 +7,10 @@ from tabkit.operators import charts, stats
 from tests.conftest import rows_of
 
 
-def test_describe_numeric(spark, churn):
-    r = stats.describe_column(churn, "monthly_charges").first()
-    values = churn.toPandas()["monthly_charges"].dropna()
-    assert (r["count"], r["missing"], r["error"]) == (118, 3, None)
+def test_describe_numeric(spark, trips):
+    r = stats.describe_column(trips, "fare").first()
+    values = trips.toPandas()["fare"].dropna()
+    assert (r["count"], r["missing"], r["error"]) == (147, 4, None)
     assert r["mean"] == pytest.approx(values.mean(), abs=1e-4)
     assert r["std"] == pytest.approx(values.std(), abs=1e-4)
     assert r["q75"] == pytest.approx(values.quantile(0.75), abs=1e-4)
@@ -27,12 +27,12 @@ def test_describe_edge_cases(spark):
         stats.describe_column(spark.range(1), "b")
 
 
-def test_group_rates_sum_to_hundred(churn):
-    out = stats.group_statistics(churn, "contract", "churn").toPandas()
-    assert np.allclose(out.groupby("contract")["pct"].sum(), 100, atol=0.02)
-    yes = out[out["churn"] == "Yes"].set_index("contract")["pct"]
-    assert yes["Month-to-month"] > yes["Two year"]
-    sparse = stats.group_rates(churn, "contract", "churn", dense=False)
+def test_group_rates_sum_to_hundred(trips):
+    out = stats.group_statistics(trips, "pier", "late").toPandas()
+    assert np.allclose(out.groupby("pier")["pct"].sum(), 100, atol=0.02)
+    yes = out[out["late"] == "Yes"].set_index("pier")["pct"]
+    assert yes["East"] > yes["North"]
+    sparse = stats.group_rates(trips, "pier", "late", dense=False)
     assert sparse.filter("n = 0").count() == 0
 
 
@@ -63,38 +63,52 @@ def test_variance_inflation(spark):
     assert got == pytest.approx(dict(zip("abc", want)), abs=1e-3)
 
 
-def test_histogram_counts_every_row_once(churn):
-    out = charts.histogram(churn, "tenure", "contract", bins=7).toPandas()
-    assert out["n"].sum() == 121 and out["bin"].between(0, 6).all()
-    flat = charts.histogram(churn.withColumn("one", F.lit(1)), "one").collect()
-    assert [(r["bin"], r["n"]) for r in flat] == [(0, 121)]
+def test_histogram_counts_every_row_once(trips):
+    out = charts.histogram(trips, "wait", "pier", bins=7).toPandas()
+    assert out["n"].sum() == 151 and out["bin"].between(0, 6).all()
+    flat = charts.histogram(trips.withColumn("one", F.lit(1)), "one").collect()
+    assert [(r["bin"], r["n"]) for r in flat] == [(0, 151)]
 
 
-def test_box_and_bar(churn):
-    data = churn.toPandas()
-    for r in charts.box(churn, "tenure", "contract").collect():
-        part = data.loc[data["contract"] == r["contract"], "tenure"]
+def test_box_and_bar(trips):
+    data = trips.toPandas()
+    for r in charts.box(trips, "wait", "pier").collect():
+        part = data.loc[data["pier"] == r["pier"], "wait"]
         assert r["n"] == len(part) and r["median"] == part.median()
-    assert charts.box(churn, "tenure").first()["n"] == 121
-    counts = [r["count"] for r in charts.bar(churn, "contract").collect()]
+    assert charts.box(trips, "wait").first()["n"] == 151
+    counts = [r["count"] for r in charts.bar(trips, "pier").collect()]
     assert counts == sorted(counts, reverse=True)
     with pytest.raises(errors.InvalidArgumentsError):
-        charts.bar(churn, "contract", "tenure", "mode")
-
-
-def test_small_charts_show_points_and_large_ones_cells(churn):
-    assert charts.scatter(churn, "tenure", "monthly_charges").columns == ["tenure", "monthly_charges"]
-    grid = charts.scatter(churn, "tenure", "monthly_charges", cap=50)
-    assert grid.agg(F.sum("n")).first()[0] == 118
-    line = charts.line(churn, "tenure", "monthly_charges", cap=50, buckets=5)
-    assert line.agg(F.sum("n")).first()[0] == 121 and line.count() <= 5
-    xs = [r["x"] for r in charts.line(churn, "tenure", "monthly_charges").collect()]
-    assert xs == sorted(xs)
+        charts.bar(trips, "pier", "wait", "mode")
+
+
+def test_points_and_cells_are_different_charts(trips):
+    points = charts.scatter(trips, "wait", "fare")
+    assert points.columns == ["wait", "fare"] and points.count() == 147
+    assert charts.scatter_grid(trips, "wait", "fare").agg(F.sum("n")).first()[0] == 147
+    line = charts.line_buckets(trips, "wait", "fare", buckets=5)
+    assert line.agg(F.sum("n")).first()[0] == 151 and line.count() <= 5
+    xs = [r["x"] for r in charts.line(trips, "wait", "fare").collect()]
+    assert xs == sorted(xs) and len(xs) == 151
+
+
+@pytest.mark.parametrize("rows", [100, 6000])
+def test_a_chart_has_one_schema_at_every_size(spark, rows):
+    df = spark.range(rows).select(
+        "id", F.expr("date_add(DATE'2024-01-01', CAST(id % 300 AS INT))").alias("day"), F.col("id").cast("string").alias("name")
+    )
+    assert charts.scatter(df, "day", "id").count() == rows
+    assert charts.line(df, "name", "id").columns == ["x", "y"]
+    assert charts.line(df, "day", "id").count() == rows
+    assert charts.line_buckets(df, "day", "id").columns == ["x", "x_last", "y", "n"]
+    assert charts.scatter_grid(df, "day", "id").agg(F.sum("n")).first()[0] == rows
+    with pytest.raises(errors.InvalidArgumentsError):
+        charts.line_buckets(df, "name", "id")
 
 
-def test_chart_dispatch(churn):
-    assert charts.chart_data(churn, "category_comparison", category="contract", target="churn").count() == 6
+def test_chart_dispatch(trips):
+    assert charts.chart_data(trips, "category_comparison", category="pier", target="late").count() == 6
     with pytest.raises(errors.InvalidArgumentsError):
-        charts.chart_data(churn, "pie", column="tenure")
+        charts.chart_data(trips, "pie", column="wait")
     with pytest.raises(errors.InvalidArgumentsError):
-        charts.chart_data(churn, "histogram", column="nope")
+        charts.chart_data(trips, "histogram", column="nope")
