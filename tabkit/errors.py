@@ -25,10 +25,6 @@ class OperatorError(TabkitError):
     """An operator could not produce a result."""
 
 
-class UnknownOperatorError(OperatorError):
-    """No operator is registered under the requested name."""
-
-
 class InvalidArgumentsError(OperatorError):
     """An operator was called with arguments it cannot use."""
 

@@ -22,11 +22,16 @@ DATE_PATTERNS = (
     "yyyy-MM-dd",
     "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss.SSS",
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ssXXX",
     "yyyy/MM/dd",
-    "MM/dd/yyyy",
+    "M/d/yyyy",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
     "dd.MM.yyyy",
     "dd-MM-yyyy",
     "d MMM yyyy",
