@@ -15,15 +15,18 @@ from tabkit.llm import decontamination, language_id, near_dedup, quality, vector
 from tabkit.llm.common import store, table
 from tabkit.llm.queries import TOKENIZER
 
-#: A text whose predicted language is less likely than this is rejected; clean short texts score higher.
+#: A text whose predicted language is less likely than this is rejected. With two families of two languages the scores cannot fall
+#: below it; it takes effect with more languages.
 LEAST_LANGUAGE = 0.25
+#: A text whose n-grams are so many standard deviations from the learned languages is rejected; clean texts stay under 3.
+FAR_FROM_LANGUAGE = 4.0
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: texts without a letter, or of no likely language, go."""
-    return language_id.identify_languages(docs, language_id.fit_language_model(docs), least=LEAST_LANGUAGE)
+    """Operator 6: texts without a letter, or of no learned language, go."""
+    return language_id.identify_languages(docs, language_id.fit_language_model(docs), least=LEAST_LANGUAGE, far=FAR_FROM_LANGUAGE)
 
 
 def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,6 +96,36 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(a, 0.0), b
 
 
+@dataclass
+class Profile:
+    """What texts of the learned languages look like: log shares of n-grams in their even mixture, and what texts reach on average.
+
+    The mixture lets texts of several learned languages through.
+    """
+
+    log_share: np.ndarray
+    centre: float  # of the language whose texts reach least
+    spread: float  # variance between texts of a language
+    scatter: float  # variance of a single n-gram
+
+    @classmethod
+    def fit(cls, x: np.ndarray, lang: np.ndarray) -> Profile:
+        """Each row is judged by the others, so a language of few rows gives a wide profile."""
+        codes, prior = sorted(set(lang.tolist())), 1 / x.shape[1]
+        rows = {c: np.flatnonzero(lang == c) for c in codes}
+        totals = {c: sum((x[i].astype(np.float64) ** 2 for i in rows[c]), np.zeros(x.shape[1])) for c in codes}
+        share = sum((totals[c] + prior) / (len(rows[c]) + 1) for c in codes) / len(codes)
+        centres, spreads = [], []
+        for c in codes:
+            n, rest = len(rows[c]), share - (totals[c] + prior) / (len(rows[c]) + 1) / len(codes)
+            own = (x[i].astype(np.float64) ** 2 for i in rows[c])
+            reached = np.array([r @ np.log(rest + (np.maximum(totals[c] - r, 0) + prior) / n / len(codes)) for r in own])
+            centres.append(float(np.median(reached)))
+            spreads.append((1.4826 * float(np.median(np.abs(reached - centres[-1])))) ** 2)
+        log = np.log(share)
+        return cls(log, min(centres), max(spreads), float(share @ log**2 - (share @ log) ** 2))
+
+
 @dataclass
 class LanguageModel:
     """Weights of all linear classifiers in one matrix: families first, then pairs of languages."""
@@ -106,6 +136,7 @@ class LanguageModel:
     bias: np.ndarray
     slope: np.ndarray
     shift: np.ndarray
+    profile: Profile
 
     @classmethod
     def fit(cls, x: np.ndarray, lang: np.ndarray, families: dict[str, tuple[str, ...]]) -> LanguageModel:
@@ -138,7 +169,7 @@ class LanguageModel:
                 one(rows, np.where(lang[rows] == members[i], 1.0, -1.0))
         w = np.array([f[0] for f in found]).reshape(-1, x.shape[1])
         b, slope, shift = (np.array([f[k] for f in found]) for k in (1, 2, 3))
-        return cls(sets, pairs, w.astype(np.float32), b, slope, shift)
+        return cls(sets, pairs, w.astype(np.float32), b, slope, shift, Profile.fit(x, lang))
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Language and probability of each row: the best family, then votes of its pairs."""
@@ -166,6 +197,16 @@ class LanguageModel:
                 score[rows] *= belief[np.arange(len(rows)), best] / (len(members) - 1)
         return lang, np.clip(score, 0.0, 1.0)
 
+    def likeness(self, x: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """How far each row's n-grams are from the learned languages, in standard deviations; far is negative.
+
+        The scores of ``predict`` share one between the learned languages, so they say nothing of texts of no learned language; this
+        does. Few different n-grams give a wide deviation, so short texts are not far.
+        """
+        share, p = x.astype(np.float64) ** 2, self.profile
+        different = np.minimum(np.maximum(letters, 1), 1 / np.maximum((share**2).sum(axis=1), 1e-9))
+        return (share @ p.log_share - p.centre) / np.sqrt(p.spread + p.scatter / different)
+
 
 def fit_language_model(
     df: DataFrame,
@@ -218,11 +259,13 @@ def identify_languages(
     id_column: str = "doc_id",
     text_column: str = "text",
     least: float | None = None,
+    far: float | None = None,
 ) -> DataFrame:
     """``lang_pred`` and ``score`` for every whole text, beside all columns of ``df``.
 
     A text that is null or has no letter, or any text if there is no model, is ``und`` with score 0. With ``least``, rows that are
-    ``und`` or score below it are dropped, and the columns of ``df`` are returned alone.
+    ``und`` or score below it are dropped, and the columns of ``df`` are returned alone. With ``far`` besides, rows go whose n-grams are
+    more than so many standard deviations less likely than those of texts of the learned languages.
     """
     names = df.columns
     if least is None:
@@ -238,7 +281,10 @@ def identify_languages(
                 lang[letters == 0] = UNKNOWN
                 score[letters == 0] = 0.0
                 if least is not None:
-                    yield chunk.take(pa.array(np.flatnonzero((lang != UNKNOWN) & (score >= least))))
+                    good = (lang != UNKNOWN) & (score >= least)
+                    if model and far is not None:
+                        good &= model.likeness(x, letters) >= -far
+                    yield chunk.take(pa.array(np.flatnonzero(good)))
                     continue
                 own = {n: chunk[n] for n in names if n not in ("lang_pred", "score")}
                 yield pa.record_batch(own | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})

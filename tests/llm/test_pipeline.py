@@ -65,3 +65,19 @@ def test_registered():
     names = __spark_entry__.queries()
     assert names["pipeline"] is corpus_pipeline.run
     assert "pipeline" not in __spark_entry__.oracle_sql()
+
+
+def test_texts_of_no_learned_language_go(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    strange = [
+        "Москва является столицей России и крупнейшим городом страны, расположенным на реке Москве. " * 3,
+        "東京は日本の首都であり、世界最大の都市の一つです。多くの人々がここに住んでいます。",
+        "qwrt zxcv bnmp lkjh gfds qwzx vbnm trwq pplk jjhg zzxx ccvv bbnn " * 4,
+        "for (int k = 0; k < kMax; ++k) { buf[k] = fgetc(fp); if (!buf[k]) break; } /* xyz_vec_fmt */ " * 6,
+    ]
+    rows = [(10**9 + i, text, "en", "planted", len(text)) for i, text in enumerate(strange)]
+    planted = spark.createDataFrame(rows, docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify(spark, docs.unionByName(planted), MEDIUM).select("doc_id").collect()}
+    assert not kept & {r[0] for r in rows}
+    clean = {r.doc_id for r in docs.where("text RLIKE '\\\\p{L}'").select("doc_id").collect()}
+    assert kept == clean
