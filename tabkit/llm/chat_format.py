@@ -28,7 +28,7 @@ _NAMES = "|".join(n for names in SPEAKERS.values() for n in names)
 #: A speaker name at the head of a line, in brackets or stars or after number signs, or followed by a colon or angle.
 MARKER = rf"(?i)^\s*(?:\[({_NAMES})\]:?|<({_NAMES})>:?|\*\*({_NAMES}):?\*\*:?|#+\s*({_NAMES}):|({_NAMES})\s*[:>])[ \t]*"
 STATES, START = 2 * len(ROLES), 2 * len(ROLES)
-#: Sizes of the line features: marker (none, or a role), blank line before, question, length.
+#: Sizes of the line features: marker (none, or a role), blank line at the row's start before it, question, length.
 FEATURES = (len(ROLES) + 1, 2, 2, 4)
 SYMBOLS = int(np.prod(FEATURES))
 #: Lines of a block, and blocks that are combined at a time.
@@ -39,10 +39,11 @@ NEVER = -(10**15)
 
 
 def transcript_lines(df: DataFrame, conversation: str, order: str, text: str, role: str | None = None) -> DataFrame:
-    """``key, conversation, pos, source, lead, line, marker, symbol`` (and ``role``) of every line that is not blank.
+    """``key, conversation, pos, source, lead, raw, cut, before, after, marker, symbol`` (and ``role``) of every line that is not blank.
 
     ``pos`` counts the lines of a conversation by ``order`` (ties by text); ``lead`` marks a row's first line; ``marker`` is the role that the
-    line's speaker marker names, if it has one, and ``line`` is without the marker.
+    line's speaker marker names, if it has one, and ``cut`` the length of that marker in ``raw``. ``before`` and ``after`` are the row's blank
+    lines ahead of the line and, for the row's last line, behind it. A blank row that starts with a bare line break counts as a marked blank line.
     """
     conv = F.col(conversation)
     rows = df.select(
@@ -53,18 +54,29 @@ def transcript_lines(df: DataFrame, conversation: str, order: str, text: str, ro
         (F.col(role).cast("string") if role else F.lit(None).cast("string")).alias("role"),
     )
     lines = rows.select("key", "conversation", "source", "role", F.xxhash64("text", "role").alias("tie"), F.split("text", "\r?\n").alias("all"))
-    lines = lines.select("*", F.posexplode("all").alias("at", "raw")).where(F.trim("raw") != "")
-    blank = (F.col("at") > 0) & (F.trim(F.get("all", F.col("at") - 1)) == "")
-    lead = F.size(F.filter(F.slice("all", 1, F.col("at")), lambda x: F.trim(x) != "")) == 0
-    lines = lines.withColumn("lead", lead)
+    written = F.filter(F.transform("all", lambda x, i: F.when(F.trim(x) != "", i)), lambda i: i.isNotNull())
+    bare = (F.size("all") > 1) & (F.get("all", F.lit(0)) == "")
+    lines = lines.withColumn("at", written).withColumn("at", F.when((F.size("at") == 0) & bare, F.array(F.lit(1))).otherwise(F.col("at")))
+
+    def piece(at: Column, k: Column) -> Column:
+        past = F.coalesce(F.get("at", k - 1), F.lit(-1))
+        last = k == F.size("at") - 1
+        return F.struct(
+            at.alias("at"), (k == 0).alias("lead"), F.get("all", at).alias("raw"), F.slice("all", past + 2, at - past - 1).alias("before"),
+            F.when(last, F.slice("all", at + 2, F.size("all"))).otherwise(F.array().cast("array<string>")).alias("after"),
+        )
+
+    lines = lines.select("key", "conversation", "source", "role", "tie", F.inline(F.transform("at", piece)))
+    blank = F.col("lead") & (F.size("before") > 0)  # blank lines inside a row part paragraphs and are no evidence
     name = F.lower(F.concat(*[F.regexp_extract("raw", MARKER, g) for g in range(1, 6)]))
     role_of = F.create_map(*[F.lit(x) for r, names in SPEAKERS.items() for n in names for x in (n, r)])
     lines = lines.withColumn("marker", role_of[name]).withColumn("line", F.regexp_replace("raw", MARKER, ""))
+    lines = lines.withColumn("cut", F.length("raw") - F.length("line"))
     number = F.coalesce(F.create_map(*[F.lit(x) for i, r in enumerate(ROLES) for x in (r, i + 1)])[F.col("marker")], F.lit(0))
     length = F.length("line")
     size = F.when(length < 30, 0).when(length < 120, 1).when(length < 400, 2).otherwise(3)
     symbol = ((number * FEATURES[1] + blank.cast("int")) * FEATURES[2] + F.rtrim("line").endswith("?").cast("int")) * FEATURES[3] + size
-    lines = lines.select("key", "conversation", "source", "role", "tie", "at", "lead", "marker", "line", symbol.cast("int").alias("symbol"))
+    lines = lines.select("key", "conversation", "source", "role", "tie", "at", "lead", "marker", "raw", "cut", "before", "after", symbol.cast("int").alias("symbol"))
     lines = store(lines.withColumn("slot", F.floor(F.coalesce("source", F.lit(-1)) / SLOT_TURNS)), "lines")
     order_by = [F.asc_nulls_first("source"), F.col("tie"), F.col("at")]
     return store(placed(lines, ["key"], "slot", order_by, "pos").drop("slot", "tie"), "lines")
@@ -234,25 +246,39 @@ def canonical_turns(
 ) -> DataFrame:
     """One row per recovered turn: ``conv_id, turn`` (from 0), ``role, content, rendered, source_turn, n_lines``.
 
-    Lines are read by ``order``; their speaker markers are evidence, not truth, and are cut off. ``source_turn`` is the
-    ``order`` value of the turn's first line. ``rendered`` is ``<|role|>``, the content and ``<|end|>`` on lines of their own.
+    Lines are read by ``order``; their speaker markers are evidence, not truth, and are cut off where a turn begins, nowhere else.
+    ``source_turn`` is the ``order`` value of the turn's first line. ``rendered`` is ``<|role|>``, the content and ``<|end|>`` on lines of
+    their own. ``n_lines`` counts the lines of the content.
 
-    Null and blank texts have no lines and give no turn unless they carry a marker. Rows with a null conversation are one
+    Blank lines belong to the turn that runs. One blank line right before a turn's first line is its separator and is cut; if it opens a
+    row, it is the turn's marker, and further blank lines after it are the head of the turn unless a speaker marker follows.
+
+    Null and blank texts have no lines and give no turn unless they carry a marker, which a bare line break at the start is, too. Rows with a null conversation are one
     conversation; a null order comes first; ties and repeated rows follow each other by a hash of their text. No rows give no
     rows.
     """
     lines = transcript_lines(df, conversation, order, text)
     states = viterbi_states(lines, model or ChatModel())
-    told = lines.select("key", "conversation", "pos", "source", "line").join(states, ["key", "pos"])
+    told = lines.select("key", "conversation", "pos", "source", "lead", "raw", "cut", "before", "after", "marker").join(states, ["key", "pos"])
     told = store(told.withColumn("begins", (F.col("state") % 2 == 0).cast("long")).withColumn("block", F.floor(F.col("pos") / BLOCK)), "told")
     begun = told.groupBy("key", "block").agg(F.sum("begins").alias("n"))
-    before = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = begun.select("key", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    earlier = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begun = begun.select("key", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
     within = Window.partitionBy("key", "block").orderBy("pos")
-    turned = told.join(begun, ["key", "block"]).withColumn("turn", F.col("before") + F.sum("begins").over(within) - 1)
+    turned = told.join(begun, ["key", "block"]).withColumn("turn", F.col("earlier") + F.sum("begins").over(within) - 1)
+    begins, none = F.col("begins") == 1, F.array().cast("array<string>")
+    opened = begins & F.col("lead") & F.col("marker").isNull()  # by a blank line as marker, or by nothing
+    head = F.when(~begins, F.col("before")).when(opened, F.slice("before", 2, F.size("before"))).otherwise(none)
+    left = F.when(begins & ~opened & (F.size("before") > 1), F.slice("before", 1, F.size("before") - 1)).otherwise(none)
+    line = F.when(begins, F.substr("raw", F.col("cut") + 1)).otherwise(F.col("raw"))
+    own = F.struct(F.col("turn").alias("turn"), F.lit(1).alias("part"), F.concat(head, F.array(line), F.col("after")).alias("text"))
+    running = F.struct((F.col("turn") - 1).alias("turn"), F.lit(0).alias("part"), left.alias("text"))
+    parts = F.filter(F.array(own, running), lambda x: (F.size(x["text"]) > 0) & (x["turn"] >= 0))
+    turned = turned.select("key", "pos", "state", "source", "conversation", F.inline(parts))
     first = F.min(F.struct("pos", "state", "source", "conversation"))
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("pos", "part", "text"))), lambda x: x["text"])
     grouped = turned.groupBy("key", "turn").agg(
-        first.alias("first"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("content"), F.count("*").alias("n_lines")
+        first.alias("first"), F.array_join(F.flatten(texts), "\n").alias("content"), F.sum(F.size("text")).cast("long").alias("n_lines")
     )
     role = F.get(F.array(*[F.lit(r) for r in ROLES]), F.floor(F.col("first.state") / 2).cast("int"))
     return grouped.select(

@@ -78,3 +78,30 @@ def test_hard_rows(spark, hard, nothing):
     assert set(got) == {1, 3, None} and len(got[3]) == 1
     assert chat.canonical_turns(df.where("false")).count() == 0
     assert isinstance(chat.fit_chat_model(chat.transcript_lines(df, "conv_id", "turn", "text", "role")), chat.ChatModel)
+
+
+def contents(df, model=None):
+    return [(r.role, r.content) for r in chat.canonical_turns(df, model).orderBy("conv_id", "turn").collect()]
+
+
+def test_blank_lines_stay(spark):
+    code = "Try this:\n\n```\ndef f():\n\n\n    return 1\n```\n\nDone.\n"
+    rows = [(0, "User: first\n\n- one\n- two"), (1, f"[assistant] {code}"), (2, "\nsecond paragraph\n \nlast?"), (3, "Assistant: a\n\n\nUser: b")]
+    df = spark.createDataFrame([(1, *r) for r in rows], "conv_id long, turn long, text string")
+    assert contents(df) == [
+        ("user", "first\n\n- one\n- two"), ("assistant", code), ("user", "second paragraph\n \nlast?"), ("assistant", "a\n"), ("user", "b"),
+    ]
+
+
+def test_blank_message_of_the_blank_line_style_is_a_turn(spark):
+    rows = [(1, 0, "User: hi"), (1, 1, "\n"), (1, 2, "User: still there?")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    assert contents(df) == [("user", "hi"), ("assistant", ""), ("user", "still there?")]
+
+
+def test_inner_markers_stay(spark):
+    said = ("[user] Solve it", "[assistant] Let me see.\nContext: a sum\nAnswer: 42") * 2
+    told = [(i, t, ("user", "assistant")[t % 2], text) for i in range(40) for t, text in enumerate(said)]
+    df = spark.createDataFrame(told, "conv_id long, turn long, role string, text string")
+    model = chat.fit_chat_model(chat.transcript_lines(df, "conv_id", "turn", "text", "role"))
+    assert contents(df.where("conv_id = 0"), model) == [("user", "Solve it"), ("assistant", "Let me see.\nContext: a sum\nAnswer: 42")] * 2
