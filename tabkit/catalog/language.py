@@ -88,7 +88,7 @@ def _(t: Tables) -> DataFrame:
 
 
 def _intents(t: Tables):
-    return tx.fit_intents(t.documents, "text", "lang", vocab_size=2000, rounds=20)
+    return tx.fit_intents(t.documents, "text", "lang")
 
 
 @query("txt_intent_model")
@@ -133,6 +133,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     spark = t.spark
     model = _intents(t)
+    languages = tx.fit_language_model(t.documents, "text", "lang")
     inbox = scratch_path(spark, "inbox")
     src.write_parquet(t.conversations.repartition(4), inbox)
     stream = qa_log.message_stream(spark, inbox, t.conversations.schema, 2)
@@ -146,7 +147,7 @@ def _(t: Tables) -> DataFrame:
     )
     replies = t.documents.select(F.col("lang").alias("tag")).distinct()
     replies = replies.withColumn("responses", F.array(F.concat(F.lit("reply in "), "tag"), F.concat("tag", F.lit("!"))))
-    rows = qa_log.answer_messages(messages, model, None, replies)
+    rows = qa_log.answer_messages(messages, model, languages, replies)
     path = scratch_path(spark, "qa_log")
     qa_log.start_log(rows, path, scratch_path(spark, "qa_checkpoint")).awaitTermination()
     log = qa_log.read_log(spark, path)

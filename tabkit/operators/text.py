@@ -47,6 +47,21 @@ def stem_dictionary(df: DataFrame, text: str) -> DataFrame:
     return token_counts(df, text).withColumn("stem", F.pandas_udf(stems, "string")("token"))
 
 
+def stems_of(words: Column) -> Column:
+    """The stem of every token of an array. Row by row, so that it works on streams, where a dictionary cannot be joined."""
+
+    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, str] = {}
+        for batch in batches:
+            for row in batch:
+                for w in row if row is not None else ():
+                    if w not in known:
+                        known[w] = stem(w)
+            yield batch.map(lambda row: None if row is None else [known[w] for w in row])
+
+    return F.pandas_udf(stems, "array<string>")(words)
+
+
 def stemmed_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, stem) for every distinct stem of a row, by way of the dictionary.
 
@@ -94,7 +109,7 @@ def language_allowed(text: Column, candidates: Column, wanted: str = "en") -> Co
 
 
 def _letters(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("__chars", F.split(F.lower(F.col(text)), ""))
+    return df.withColumn("__chars", F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), ""))
 
 
 def fit_language_model(df: DataFrame, text: str, lang: str, buckets: int = 1 << 14) -> PipelineModel:
@@ -125,12 +140,14 @@ def language_candidates(model: PipelineModel, df: DataFrame, text: str) -> DataF
 
 
 def fit_intents(
-    df: DataFrame, text: str, tag: str, hidden: Sequence[int] = (8, 8), vocab_size: int = 1 << 18, rounds: int = 100,
+    df: DataFrame, text: str, tag: str, hidden: Sequence[int] = (8, 8), vocab_size: int | None = None, rounds: int = 100,
     seed: int = 42,
 ) -> PipelineModel:
-    """Intent classifier: binary bag of words, two small hidden layers, softmax."""
+    """Intent classifier: binary bag of stems, two small hidden layers, softmax. Without ``vocab_size`` every stem counts."""
     require_columns(df, [text, tag])
-    rows = spread(df.select(text, tag)).select(text, tag, tokens(F.col(text)).alias("__tokens")).persist()
+    rows = spread(df.select(text, tag)).select(text, tag, stems_of(tokens(F.col(text))).alias("__tokens")).persist()
+    if vocab_size is None:
+        vocab_size = max(1, rows.select(F.explode("__tokens")).distinct().count())
     words = CountVectorizer(inputCol="__tokens", outputCol="__bag", binary=True, vocabSize=vocab_size).fit(rows)
     tags = StringIndexer(inputCol=tag, outputCol="__tag", stringOrderType="alphabetAsc").fit(rows)
     if len(tags.labels) < 2:
@@ -146,14 +163,14 @@ def classify(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
     """Adds n_tokens, n_known (vocabulary hits), tag and confidence. Works on streams too."""
     words, tags, network = model.stages
     assert isinstance(words, CountVectorizerModel)
-    bagged = words.transform(df.withColumn("__tokens", tokens(F.col(text))))
+    bagged = words.transform(df.withColumn("__words", tokens(F.col(text))).withColumn("__tokens", stems_of(F.col("__words"))))
     scored = network.transform(bagged)
     probabilities = vector_to_array("__prob")
     labels = F.array(*[F.lit(x) for x in tags.labels])
     known = F.aggregate(vector_to_array("__bag"), F.lit(0.0), lambda s, v: s + v).cast("long")
     return scored.select(
         *df.columns,
-        F.size("__tokens").alias("n_tokens"),
+        F.size("__words").alias("n_tokens"),
         known.alias("n_known"),
         F.get(labels, argmax(probabilities).cast("int")).alias("tag"),
         F.array_max(probabilities).alias("confidence"),

@@ -133,3 +133,23 @@ def test_ungrounded_turns(spark):
             (1, 3, "assistant", "20 30 40"), (2, 0, "assistant", "none")]
     df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
     assert rows_of(answers.ungrounded_turns(df)) == [(1, 1, 1), (1, 3, 1), (2, 0, 0)]
+
+
+def test_intents_know_every_stem(spark):
+    from tabkit.catalog import language
+    from tabkit.catalog.registry import Tables
+
+    model = language._intents(Tables(spark, "/root/testdata/sf0.001"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {r["stem"] for r in tx.stem_dictionary(docs, "text").select("stem").distinct().collect()}
+    assert len(want) > 2000 and set(model.stages[0].vocabulary) == want
+    scored = tx.classify(model, docs.select("doc_id", "text"), "text").filter("n_tokens > 0 AND n_known = 0")
+    assert scored.count() == 0
+
+
+def test_log_gates_other_languages(spark):
+    from tabkit.catalog import language  # noqa: F401
+    from tabkit.catalog.registry import Tables, QUERIES
+
+    rows = QUERIES["st_qa_log"](spark, "/root/testdata/sf0.001")
+    assert rows.filter("tag = 'non_english'").count() > 0
