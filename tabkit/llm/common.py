@@ -41,3 +41,22 @@ def placed(df: DataFrame, keys: list[str], slot: str, order: list[Column], out:
         .withColumn(out, F.col("_before") + inside - 1)
         .drop("_before")
     )
+
+
+#: Rows that one task of ``range_ranked`` sorts.
+RANGE_ROWS = 1_000_000
+
+
+def range_ranked(df: DataFrame, order: list[Column], rows: int, out: str) -> DataFrame:
+    """Row position (from 1) of each of ``rows`` rows in ``order``: sorted ranges, and the counts of the ranges before.
+
+    Rows that ``order`` does not tell apart may not fill a task, so it should end with an identifier.
+    """
+    spark = df.sparkSession
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 20_000), rows // RANGE_ROWS)
+    ranged = store(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for each task
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.join(F.broadcast(offsets), "_part").withColumn(out, F.col("_before") + inside).drop("_part", "_before")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import chat_format, decontamination, language_id, lm_scoring, near_dedup, quality, sharding, token_output, topk, vector_packing
+from tabkit.llm import chat_format, decontamination, importance, language_id, lm_scoring, near_dedup, quality, sharding, token_output, topk, vector_packing
 from tabkit.llm.common import id_remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,15 +60,58 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.exact_topk(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op13_importance_draw(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_gated_lm, op2_chat_hmm, op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
-        op9_stratified_shards, op10_exact_topk,
+        op9_stratified_shards, op10_exact_topk, op13_importance_draw,
     )
 }
 
+#: CRC-32 of the ASCII or UTF-8 bytes of every row (k, hex) of a preceding table ``coded``; gives ``crcs (k, crc)``.
+_CRC32 = """
+bits AS (
+  SELECT range AS byte, 0 AS step, range AS v FROM range(256)
+  UNION ALL
+  SELECT byte, step + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE step < 8
+), places AS (SELECT byte, v FROM bits WHERE step = 8), walk AS (
+  SELECT k, hex, 0 AS i, 4294967295::BIGINT AS crc FROM coded
+  UNION ALL
+  SELECT k, hex, i + 1, xor(crc >> 8, p.v)
+  FROM walk JOIN places p ON p.byte = xor(crc & 255, ('0x' || substr(hex, 2 * i + 1, 2))::BIGINT)
+  WHERE 2 * i < length(hex)
+), crcs AS (SELECT k, xor(crc, 4294967295) AS crc FROM walk WHERE 2 * i = length(hex))
+"""
+
 SQL: dict[str, str] = {
+    "op13_importance_draw": r"""
+WITH RECURSIVE words AS (
+  SELECT true AS own, doc_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM documents
+  UNION ALL
+  SELECT false, item_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+  FROM benchmark
+), coded AS (SELECT DISTINCT w AS k, hex(encode(w)) AS hex FROM words WHERE w <> ''), """
+    + _CRC32
+    + """, placed AS (SELECT own, doc_id, crc % 10000 AS b FROM words JOIN crcs ON k = w),
+held AS (SELECT b, count(*) FILTER (WHERE own) AS s, count(*) FILTER (WHERE NOT own) AS t FROM placed GROUP BY b),
+sums AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM held),
+gains AS (
+  SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain FROM held, sums
+), weights AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight FROM placed JOIN gains USING (b) WHERE own GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents d LEFT JOIN weights USING (doc_id)
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND r <= (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) THEN r END AS rank
+FROM ranked
+""",
     "op4_simhash_windows": r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
