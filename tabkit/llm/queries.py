@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import chat_format, decontamination, importance, language_id, lm_scoring, near_dedup, quality, sharding, token_output, topk, vector_packing
+from tabkit.llm import chat_format, decontamination, importance, language_id, lm_scoring, near_dedup, pii, quality, sharding, token_output, topk, vector_packing
 from tabkit.llm.common import id_remainder, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,11 @@ def op10_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.exact_topk(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.span_digests(pii.personal_spans(docs, pii.fit_span_field(docs)))
+
+
 def op13_importance_draw(spark: SparkSession, folder: str) -> DataFrame:
     return importance.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -68,7 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_gated_lm, op2_chat_hmm, op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
-        op9_stratified_shards, op10_exact_topk, op13_importance_draw,
+        op9_stratified_shards, op10_exact_topk, op11_semi_markov_pii, op13_importance_draw,
     )
 }
 
