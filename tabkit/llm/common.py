@@ -60,3 +60,23 @@ def range_ranked(df: DataFrame, order: list[Column], rows: int, out: str) -> Dat
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for each task
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return ranged.join(F.broadcast(offsets), "_part").withColumn(out, F.col("_before") + inside).drop("_part", "_before")
+
+
+def positions(df: DataFrame, key: str, order: list[Column], out: str) -> DataFrame:
+    """Row position (from 1) within ``key``; rows are sorted in ranges, so a key with a third of all rows is cut into many.
+
+    Rows that neither key nor order tell apart are numbered as they come.
+    """
+    spark = df.sparkSession
+    columns = [c for c in df.columns if c != out]
+    rows = df.count()
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // 20_000), rows // RANGE_ROWS)
+    spread = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = spread.repartitionByRange(parts, F.col(key), *order, F.col("_tie")).withColumn("_part", F.spark_partition_id())
+    ranged = store(ranged, "ranges")
+    counts = ranged.groupBy(key, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "_part", F.sum("_n").over(before).alias("_before")).where("_before > 0")  # at most the first key of a range
+    inside = F.row_number().over(Window.partitionBy("_part", key).orderBy(*order, F.col("_tie")))
+    placed_ = ranged.withColumn("_in", inside).join(F.broadcast(offsets), [key, "_part"], "left")
+    return placed_.select(*columns, (F.col("_in") + F.coalesce("_before", F.lit(0))).cast("long").alias(out))

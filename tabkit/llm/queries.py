@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import chat_format, decontamination, importance, language_id, lm_scoring, near_dedup, pii, quality, sharding, token_output, topk, vector_packing
-from tabkit.llm.common import id_remainder, table
+from tabkit.llm import chat_format, decontamination, importance, language_id, lm_scoring, near_dedup, pii, prefix_trie, quality, sharding, token_output, topk, vector_packing
+from tabkit.llm.common import id_remainder, store, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -65,6 +65,11 @@ def op11_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digests(pii.personal_spans(docs, pii.fit_span_field(docs)))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = store(prefix_trie.numbered_turns(table(spark, folder, "conversations")), "turns")
+    return prefix_trie.trie_digests(prefix_trie.prefix_trie(*prefix_trie.grafted(turns)))
+
+
 def op13_importance_draw(spark: SparkSession, folder: str) -> DataFrame:
     return importance.importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -73,7 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_gated_lm, op2_chat_hmm, op3_token_output, op4_simhash_windows, op5_vector_packing, op6_language_family, op7_quality_qda, op8_dart_minhash,
-        op9_stratified_shards, op10_exact_topk, op11_semi_markov_pii, op13_importance_draw,
+        op9_stratified_shards, op10_exact_topk, op11_semi_markov_pii, op12_prefix_trie, op13_importance_draw,
     )
 }
 
@@ -93,6 +98,37 @@ bits AS (
 """
 
 SQL: dict[str, str] = {
+    "op12_prefix_trie": """
+WITH RECURSIVE own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), coded AS (SELECT DISTINCT conv_id AS k, hex(encode(conv_id::VARCHAR)) AS hex FROM own), """
+    + _CRC32
+    + """, heads AS (SELECT k AS c, k - k % 100 AS first, crc % 6 AS h FROM crcs), rebuilt AS (
+  SELECT c, p, role, text FROM heads JOIN own ON own.conv_id = first AND p <= h
+  UNION ALL
+  SELECT c, p, role, text FROM heads JOIN own ON own.conv_id = c AND p > h
+), turns AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY p) AS p, sha256(length(role) || ':' || role || text) AS t, length(text) AS n FROM rebuilt
+), paths AS (
+  SELECT c, 0::BIGINT AS depth, '' AS path, '' AS up, 0::BIGINT AS n FROM heads
+  UNION ALL
+  SELECT c, p, string_agg(t, '/') OVER w, coalesce(string_agg(t, '/') OVER (PARTITION BY c ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''), n
+  FROM turns WINDOW w AS (PARTITION BY c ORDER BY p)
+), lengths AS (SELECT c, max(depth) AS last FROM paths GROUP BY c), nodes AS (
+  SELECT path, depth, any_value(up) AS up, any_value(n) AS n, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE depth = last), '')) AS ends_sha256
+  FROM paths JOIN lengths USING (c) GROUP BY path, depth
+), kids AS (SELECT up AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL), marked AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (path, depth)
+), trees AS (
+  SELECT p.path, p.depth, sum((m.n_convs - 1) * m.n)::BIGINT AS saved_tokens, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves
+  FROM marked m JOIN paths q ON q.c = m.conv_id AND q.depth = m.depth JOIN paths p ON p.c = m.conv_id AND p.depth <= m.depth GROUP BY ALL
+)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, t.n_leaves, t.saved_tokens, m.ends_sha256
+FROM marked m JOIN trees t USING (path, depth) LEFT JOIN marked u ON u.path = m.up AND u.depth = m.depth - 1
+""",
     "op13_importance_draw": r"""
 WITH RECURSIVE words AS (
   SELECT true AS own, doc_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
