@@ -111,3 +111,27 @@ def test_sql(spark):
     want = con.execute(SQL["op4_simhash_windows"]).fetchall()
     rows = QUERIES["op4_simhash_windows"](spark, MEDIUM).select("doc_id", "item_id", "similarity", "start").collect()
     assert sorted(tuple(r) for r in rows) == sorted(want) and len(want) > 20
+
+
+def test_long_texts_cross_no_join_with_their_words(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    filler = "la palabra y el camino de los árboles " * 3000
+    rows = [(i, filler + item + " " + filler) for i in range(5)] + [(100, filler)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame([(1, item), (2, "la palabra y el camino de los árboles la palabra y el")], "item_id long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dc.contaminated(docs, benchmark)
+        got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {**{(i, 1): (1.0, 24_000) for i in range(5)}, **{(i, 2): (1.0, 0) for i in [*range(5), 100]}}
+
+
+def test_only_the_text_with_the_leak_goes(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, f"a b {item}", "x"), (1, "another text", "y"), (None, item, "z"), (None, "clean", "u"), (None, None, "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, size string")
+    kept = dc.without_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(r["size"] for r in kept.collect()) == ["u", "v", "y"]
