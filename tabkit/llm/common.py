@@ -14,10 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors."""
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, in folders of the values of ``by`` if named, and read it back: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -26,21 +26,28 @@ def id_remainder(id_column: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus, F.lit(0))
 
 
-def placed(df: DataFrame, keys: list[str], slot: str, order: list[Column], out: str) -> DataFrame:
-    """Row position (from 0) within ``keys`` without bringing a key's rows into one task.
+#: Slots whose counts one window of ``placed`` sums.
+SLOTS_AT_ONCE = 1024
 
-    ``slot`` is an integer column that grows with ``order``; a window ranks the rows of one slot, and the
-    counts of the slots before it give the offset. Slots should hold a bounded number of rows.
+
+def placed(df: DataFrame, keys: list[str], slot: str, order: list[Column], out: str, total: str | None = None) -> DataFrame:
+    """Row position (from 0) within ``keys`` without bringing a key's rows into one task; ``total`` names a column for the key's rows.
+
+    ``slot`` is an integer column that grows with ``order``; a window ranks the rows of one slot, and the counts of the slots before
+    it, summed in two levels, give the offset. Slots should hold a bounded number of rows.
     """
-    counts = df.groupBy(*keys, slot).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, slot, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    counts = df.groupBy(*keys, slot).agg(F.count("*").alias("_n")).withColumn("_block", F.floor(F.col(slot) / SLOTS_AT_ONCE))
+    ahead = lambda by, order_: Window.partitionBy(*by).orderBy(order_).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy(*keys, "_block").agg(F.sum("_n").alias("_m"))
+    blocks = blocks.select(*keys, "_block", F.coalesce(F.sum("_m").over(ahead(keys, "_block")), F.lit(0)).alias("_blocks_before"))
+    inside_block = F.coalesce(F.sum("_n").over(ahead([*keys, "_block"], slot)), F.lit(0))
+    offsets = counts.withColumn("_slots_before", inside_block).join(blocks, [*keys, "_block"])
+    offsets = offsets.select(*keys, slot, (F.col("_slots_before") + F.col("_blocks_before")).alias("_before"))
+    if total:
+        sizes = counts.groupBy(*keys).agg(F.sum("_n").alias(total))
+        offsets = offsets.join(sizes, keys) if keys else offsets.crossJoin(sizes)  # without keys sizes is one row
     inside = F.row_number().over(Window.partitionBy(*keys, slot).orderBy(*order))
-    return (
-        df.join(offsets, [*keys, slot])
-        .withColumn(out, F.col("_before") + inside - 1)
-        .drop("_before")
-    )
+    return df.join(offsets, [*keys, slot]).withColumn(out, F.col("_before") + inside - 1).drop("_before")
 
 
 #: Rows that one task of ``range_ranked`` sorts.

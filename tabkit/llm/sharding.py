@@ -56,15 +56,11 @@ def stratified_shards(
     strata = ["bare", "stratum"]
     order = [F.col("draw"), F.col("doc_id"), F.col("text_crc32")]
     phase = _draw(seed, F.lit("phase"), F.col("bare").cast("int"), F.col("stratum")) / _UNIT
-    sizes = rows.groupBy(*strata).agg(F.count("*").alias("n_source")).withColumn("phase", phase)
     total = rows.count()
-    sliced = rows.join(sizes, strata).withColumn(
-        "slice", F.floor(F.col("draw") / _UNIT * F.ceil(F.col("n_source") / SLOT_ROWS)).cast("int")
-    )
-    ranked = placed(sliced, strata, "slice", order, "rank").withColumn(
-        "share", (F.col("rank") + F.col("phase")) / F.col("n_source")
-    )
     slices = -(-max(1, total) // SLOT_ROWS)
+    # cut by the draw alone, so that no join or exchange is on the source alone
+    sliced = rows.withColumn("slice", F.floor(F.col("draw") / _UNIT * slices).cast("int"))
+    ranked = placed(sliced, strata, "slice", order, "rank", "n_source").withColumn("share", (F.col("rank") + phase) / F.col("n_source"))
     ranked = store(ranked.withColumn("slice", F.floor(F.col("share") * slices).cast("int")), "shard-ranks")
     dealt = placed(ranked, [], "slice", [F.col("share"), *order], "place").withColumn(
         "shard", F.expr(f"(place * {shards}) div {max(1, total)}").cast("int")

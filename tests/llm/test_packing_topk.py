@@ -228,3 +228,16 @@ def test_topk_sql(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SMALL}/embeddings.parquet')")
     rows = QUERIES["op10_exact_topk"](spark, SMALL).select("query_id", "rank", "vec_id", "score").collect()
     assert sorted(tuple(r) for r in rows) == sorted(con.execute(SQL["op10_exact_topk"]).fetchall())
+
+
+def test_no_exchange_is_on_the_source_alone(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'x' AS text", "if(id % 3 = 0, 'hot', concat('s', id % 10)) AS source")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = sharding.stratified_shards(docs)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert dealt.groupBy("shard").count().agg({"count": "max"}).first()[0] == 125
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(bare" not in plan.replace("hashpartitioning(bare, stratum, slice", "")
