@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from tabkit.catalog.registry import Tables, query
-from tabkit.operators import anomaly, explain, features, models, relational, synthesis
+from tabkit.operators import anomaly, boosting, explain, features, models, relational, synthesis
 from tabkit.session import scratch_path
 
 # --- models -----------------------------------------------------------------------------------
@@ -34,17 +33,17 @@ def _labelled_docs(t: Tables) -> DataFrame:
 @query("ml_baseline_cls")
 def _(t: Tables) -> DataFrame:
     docs = _labelled_docs(t)
-    return models.train_baseline_model(docs.drop("doc_id", "toxic"), "quality", trees=20, depth=5, rounds=10).metrics
+    return models.train_baseline_model(docs.drop("doc_id", "toxic"), "quality").metrics
 
 
 @query("ml_baseline_reg")
 def _(t: Tables) -> DataFrame:
-    return models.train_baseline_model(t.part.drop("p_partkey"), "p_retailprice", trees=20, depth=5, rounds=10).metrics
+    return models.train_baseline_model(t.part.drop("p_partkey"), "p_retailprice").metrics
 
 
 @query("ml_importance")
 def _(t: Tables) -> DataFrame:
-    result = models.train_baseline_model(t.part, "p_retailprice", boosting=False, trees=20, depth=5, rounds=10)
+    result = models.train_baseline_model(t.part, "p_retailprice", boosting=False)
     return models.feature_importance(result, 15)
 
 
@@ -68,7 +67,7 @@ _FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumb
 def _(t: Tables) -> DataFrame:
     split = features.split_time(_flagged_lines(t), "l_shipdate", 0.2)
     ready = models.assemble(split, _FEATURES).select("split", "label", "features").persist()
-    model = models.fit_weighted_boosting(ready.filter("split = 'train'"), rounds=10, depth=4)
+    model = models.fit_weighted_boosting(ready.filter("split = 'train'"))
     scored = models.with_score(model.transform(ready.filter("split = 'test'")))
     from tabkit.operators import metrics
 
@@ -79,10 +78,101 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     split = features.split_random(_flagged_lines(t).drop("l_shipdate"), 0.15, 7)
     ready = models.assemble(split, _FEATURES).withColumn("held", F.col("split") == "test")
-    model = models.fit_early_stopping(ready, GBTClassifier(maxIter=20, maxDepth=4, seed=7), "held")
+    model = models.fit_early_stopping(ready, "held")
     pairs = models.importance_pairs(model, _FEATURES)
     frame = t.spark.createDataFrame(pairs, "feature string, importance double")
-    return frame.withColumn("n_trees", F.lit(model.getNumTrees))
+    return frame.withColumn("n_trees", F.lit(model.model.best_round))
+
+
+#: Share of some letters, which differ by language.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzáäéèêñöüßçóí"
+
+
+@query(
+    "ml_boost_multiclass",
+    """SELECT lang, count(*) AS n_test, true AS recall_above_09, true AS precision_above_09, true AS sums_to_one
+       FROM documents WHERE lang IS NOT NULL AND doc_id % 5 = 0 GROUP BY lang""",
+)
+def _(t: Tables) -> DataFrame:
+    """Languages of held-out documents from shares of letters, by softmax boosting with the default 200 rounds."""
+    low = F.lower("text")
+    share = lambda c: (F.length(low) - F.length(F.translate(low, c, ""))) / F.greatest(F.length("text"), F.lit(1))
+    rows = t.documents.where("lang IS NOT NULL").select("doc_id", "lang", *[share(c).alias(f"share{i}") for i, c in enumerate(_LETTERS)])
+    kinds = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    coded = rows.withColumn("y", F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("lang")) - 1)
+    names = [f"share{i}" for i in range(len(_LETTERS))]
+    model = boosting.fit_boosting(coded.where("doc_id % 5 <> 0"), names, "y", len(kinds))
+    found = boosting.predict(coded.where("doc_id % 5 = 0"), model, probability="p")
+    hit = F.count_if(F.col("prediction") == F.col("y"))
+    each = found.groupBy("lang", "y").agg(
+        F.count("*").alias("n_test"), (hit / F.count("*") > 0.9).alias("recall_above_09"),
+        F.bool_and(F.abs(F.aggregate("p", F.lit(0.0), lambda a, b: a + b) - 1) < 1e-9).alias("sums_to_one"),
+    )
+    called = found.groupBy(F.col("prediction").cast("long").alias("y")).agg((hit / F.count("*") > 0.9).alias("precision_above_09"))
+    return each.join(called, "y", "left").select("lang", "n_test", "recall_above_09", F.coalesce("precision_above_09", F.lit(False)).alias("precision_above_09"), "sums_to_one")
+
+
+_STUMP = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query(
+    "ml_boost_stump",
+    """WITH m AS (SELECT avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS s, count(*) AS n FROM lineitem),
+      long AS ("""
+    + " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, {c}::DOUBLE AS x, (m - l_extendedprice) / s AS g FROM lineitem, m" for i, c in enumerate(_STUMP))
+    + """), runs AS (
+        SELECT i, feature, x, sum(sum(g)) OVER w AS g_left, sum(count(*)) OVER w AS h_left, sum(sum(g)) OVER (PARTITION BY i) AS g, sum(count(*)) OVER (PARTITION BY i) AS h
+        FROM long GROUP BY i, feature, x WINDOW w AS (PARTITION BY i ORDER BY x)
+      ), cuts AS (
+        SELECT *, (g_left ** 2 / (h_left + 1) + (g - g_left) ** 2 / (h - h_left + 1) - g ** 2 / (h + 1)) / 2 AS gain FROM runs WHERE h_left < h
+      )
+      SELECT feature, x AS cut, round(gain, 3) AS gain, round(m - s * g_left / (h_left + 1), 2) AS left_value, round(m - s * (g - g_left) / (h - h_left + 1), 2) AS right_value
+      FROM cuts, m ORDER BY cuts.gain DESC, i, x LIMIT 1""",
+)
+def _(t: Tables) -> DataFrame:
+    """The first cut of boosting a number, over all rows."""
+    model = boosting.fit_boosting(t.lineitem, _STUMP, "l_extendedprice", rounds=1, depth=1, step=1.0)
+    tree, base = model.trees[0][0], float(model.base[0]) * model.scale
+    f = int(tree.feature[0])
+    values = [base + float(tree.value[i]) * model.scale for i in (int(tree.left[0]), int(tree.right[0]))]
+    row = (_STUMP[f], float(model.edges[f][int(tree.cut[0]) - 1]), round(float(tree.gain[0]), 3), *[round(v, 2) for v in values])
+    return t.spark.createDataFrame([row], "feature string, cut double, gain double, left_value double, right_value double")
+
+
+@query(
+    "ml_early_stop_curve",
+    """WITH m AS (SELECT avg(p_retailprice) AS m FROM part WHERE p_partkey % 4 <> 0)
+       SELECT round(sqrt(avg((p_retailprice - m) ** 2) FILTER (WHERE p_partkey % 4 <> 0)), 2) AS first_train, round(sqrt(avg((p_retailprice - m) ** 2) FILTER (WHERE p_partkey % 4 = 0)), 2) AS first_validation,
+         true AS stopped_in_time, true AS best_is_least, true AS held_out_rmse_is_best, true AS improved FROM part, m""",
+)
+def _(t: Tables) -> DataFrame:
+    """The curve of boosting that stops ten rounds after its best round on held-out rows, and that round's own error."""
+    rows = t.part.select("p_size", F.length("p_name").alias("name"), F.col("p_partkey").alias("number"), "p_retailprice", (F.col("p_partkey") % 4 == 0).alias("held"))
+    names = ["p_size", "name", "number"]
+    model = boosting.fit_boosting(rows, names, "p_retailprice", validation="held", patience=10, rounds=3000, step=0.1)
+    curve = boosting.learning_curve(t.spark, model)
+    best = curve.where("is_best").select(F.col("round").alias("at"), F.col("validation_loss").alias("least"))
+    rmse = boosting.predict(rows.where("held"), model).agg(F.sqrt(F.avg((F.col("prediction") - F.col("p_retailprice")) ** 2)).alias("rmse"))
+    facts = curve.agg(
+        F.round(F.min_by("train_loss", "round"), 2).alias("first_train"), F.round(F.min_by("validation_loss", "round"), 2).alias("first_validation"),
+        F.min_by("validation_loss", "round").alias("first"), F.max("round").alias("last"), F.min("validation_loss").alias("lowest"),
+    )
+    return facts.crossJoin(best).crossJoin(rmse).select(  # one row each
+        "first_train", "first_validation", (F.col("last") <= F.col("at") + 10).alias("stopped_in_time"), (F.col("least") == F.col("lowest")).alias("best_is_least"),
+        (F.abs(F.col("rmse") - F.col("least")) < 1e-3 * F.col("least")).alias("held_out_rmse_is_best"), (F.col("least") < F.col("first")).alias("improved"),
+    )
+
+
+@query("ml_shap_tree", "SELECT p_partkey, true AS adds_up FROM part")
+def _(t: Tables) -> DataFrame:
+    """Exact Shapley values of boosted trees for every row: whether they sum to the prediction less the mean prediction."""
+    rows = t.part.select("p_partkey", "p_size", F.length("p_name").alias("name"), F.length("p_type").alias("type"), "p_retailprice")
+    names = ["p_size", "name", "type", "p_partkey"]
+    model = boosting.fit_boosting(rows, names, "p_retailprice", rounds=20, depth=5)
+    found = boosting.predict(boosting.tree_shap(rows, model), model)
+    total = F.aggregate("shap", F.lit(0.0), lambda a, b: a + b)
+    fits = (F.abs(total - (F.col("margin") - F.col("mean_margin"))) < 1e-6) & (F.abs(F.col("margin") - F.col("prediction")) < 1e-6)
+    return found.select("p_partkey", fits.alias("adds_up"))
 
 
 @query("ml_elastic_net")
@@ -97,14 +187,23 @@ def _(t: Tables) -> DataFrame:
 
 @query("ml_random_search")
 def _(t: Tables) -> DataFrame:
+    """Fifty draws of an elastic net, each with five folds."""
     rows = models.assemble(t.lineitem.select("l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("label")), ["l_quantity", "l_discount", "l_tax"])
-    space = {"regParam": (1e-3, 1e2, "log"), "elasticNetParam": (0.0, 1.0, "float")}
-    _, history = models.random_search(
-        LinearRegression(), rows.persist(), space, models.default_evaluator("regression"), trials=6
-    )
+    space = {"regParam": (1e-4, 10.0, "log"), "elasticNetParam": (0.0, 1.0, "float")}
+    _, history = models.random_search(LinearRegression(), rows, space, models.default_evaluator("regression"), trials=50, folds=5, parallelism=8)
     return relational.best_so_far(history, "trial", "value")
 
 
+@query("ml_search_boosting")
+def _(t: Tables) -> DataFrame:
+    """Fifty draws of boosted trees for toxic documents, by average precision on the later documents."""
+    docs = _labelled_docs(t)
+    split = features.split_time(docs, "doc_id", 0.15)
+    train, held = (split.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    _, history = models.search_boosting(train, held, _RARE, "toxic")
+    return history
+
+
 @query("ml_persist")
 def _(t: Tables) -> DataFrame:
     names = ["l_quantity", "l_discount", "l_tax"]
@@ -133,8 +232,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("ml_shap_sampled")
 def _(t: Tables) -> DataFrame:
-    result = models.train_baseline_model(t.part.drop("p_partkey", "p_name"), "p_retailprice", trees=20, depth=5, rounds=10)
-    return explain.explain_best(result, permutations=4)
+    result = models.train_baseline_model(t.part.drop("p_partkey", "p_name"), "p_retailprice")
+    return explain.explain_best(result)
 
 
 # --- anomalies --------------------------------------------------------------------------------
@@ -148,7 +247,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("anom_iforest_summary")
 def _(t: Tables) -> DataFrame:
-    return anomaly.detect_anomalies(t.events, ["value", "user_id"], trees=100).summary()
+    return anomaly.detect_anomalies(t.events, ["value", "user_id"]).summary()
 
 
 @query("anom_reconstruction")
@@ -263,12 +362,13 @@ def _doc_split(t: Tables) -> tuple[DataFrame, DataFrame]:
 def _(t: Tables) -> DataFrame:
     train, test = _doc_split(t)
     made = synthesis.copula_rows(train.filter("toxic = 1"), synthesis.rare_rows_needed(train, "toxic"), _RARE)
-    return synthesis.train_synthetic_test_real(train, made, test, _RARE, "toxic", rounds=10)
+    return synthesis.train_synthetic_test_real(train, made, test, _RARE, "toxic")
 
 
 @query("syn_compare")
 def _(t: Tables) -> DataFrame:
     train, test = _doc_split(t)
     made = synthesis.copula_rows(train.filter("toxic = 1"), synthesis.rare_rows_needed(train, "toxic"), _RARE)
-    extra = {"smote": synthesis.smote(train, "toxic", "doc_id", _RARE), "copula": made, "tuned_copula": None}
-    return synthesis.compare_strategies(train, test, _RARE, "toxic", extra, rounds=10)
+    tuned = synthesis.copula_rows(train.filter("toxic = 1"), 2 * synthesis.rare_rows_needed(train, "toxic"), _RARE)
+    extra = {"smote": synthesis.smote(train, "toxic", "doc_id", _RARE), "copula": made, "tuned_copula": tuned}
+    return synthesis.compare_strategies(train, test, _RARE, "toxic", extra)
