@@ -28,6 +28,26 @@ _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ0-9!-/:-@\\[-`{-~]+").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+").findall
 
 
+#: A sign that is not plain, or the beginning of a special token.
+_STRANGE = "[^\\t\\n\\x0b\\f\\r A-Za-zÀ-ÖØ-öø-ÿ0-9!-/:-@\\[-`{-~]|<\\|"
+#: Pre-tokens of plain text other than runs of letters, in the order of ``_PIECES``.
+_BETWEEN = "('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[!-/:-@\\[-`{-~]+)"
+
+
+def _units(texts: pa.Array) -> pa.Array:
+    """Each text as a list of strings whose ids, in a row, are the text's ids.
+
+    Plain texts are cut into lower-case pre-tokens, of which there are far fewer than words; others into words.
+    """
+    strange = pc.match_substring_regex(texts, _STRANGE)
+    plain = pc.replace_substring_regex(pc.utf8_lower(texts.filter(pc.invert(strange))), _BETWEEN, r" \1 ")
+    lists = [pc.ascii_split_whitespace(plain), pc.ascii_split_whitespace(texts.filter(strange))]
+    if not len(lists[1]):
+        return lists[0]
+    order = np.argsort(np.asarray(strange), kind="stable")
+    return pa.concat_arrays(lists).take(pa.array(np.argsort(order, kind="stable")))
+
+
 def _byte_letters() -> dict[int, int]:
     """Byte-level BPE writes bytes as letters: printable ones as themselves, the others from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -96,7 +116,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the offset of each text in them (one more offset than texts)."""
-        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = _units(texts.fill_null(""))
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.index) + len(distinct) > CACHE_WORDS:
