@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tabkit.catalog.registry import Tables, query
 from tabkit.operators import anomaly, boosting, explain, features, models, relational, synthesis
@@ -204,13 +204,15 @@ def _(t: Tables) -> DataFrame:
     return history
 
 
-@query("ml_persist")
+@query("ml_persist", "SELECT l_orderkey, l_linenumber, true AS same FROM lineitem")
 def _(t: Tables) -> DataFrame:
+    """Whether a saved and loaded model predicts what the fitted one does."""
     names = ["l_quantity", "l_discount", "l_tax"]
     model = models.elastic_net(names, "l_extendedprice").fit(t.lineitem)
     path = models.save_model(model, scratch_path(t.spark, "model"))
     loaded = models.PipelineModel.load(path)
-    return loaded.transform(t.lineitem.select("l_orderkey", *names)).select("l_orderkey", F.round("prediction", 4).alias("prediction"))
+    rows = model.transform(t.lineitem.select("l_orderkey", "l_linenumber", *names)).withColumnRenamed("prediction", "fitted").drop("raw", "features")
+    return loaded.transform(rows).select("l_orderkey", "l_linenumber", (F.col("prediction") == F.col("fitted")).alias("same"))
 
 
 _BETA = {"l_quantity": 1500.0, "l_discount": -2000.0, "l_tax": 0.0}
@@ -305,12 +307,19 @@ def _(t: Tables) -> DataFrame:
 _RARE = ["n_chars", "n_words", "digit_share", "line_share"]
 
 
-@query("join_knn")
+@query(
+    "join_knn",
+    """WITH p AS (SELECT p_size::DOUBLE AS x, p_retailprice::DOUBLE AS y, min(p_partkey) AS point FROM part GROUP BY ALL),
+       d AS (SELECT a.point, b.point AS other, round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 6) AS distance FROM p a JOIN p b ON a.point <> b.point),
+       r AS (SELECT *, row_number() OVER (PARTITION BY point ORDER BY distance, other) AS place FROM d)
+       SELECT point, place, distance FROM r WHERE place <= 3""",
+)
 def _(t: Tables) -> DataFrame:
     from tabkit.operators.neighbours import nearest_rows
 
     _, pairs = nearest_rows(t.part, "p_partkey", ["p_size", "p_retailprice"], 3)
-    return pairs.select("point", "other", F.round("distance", 6).alias("distance"))
+    place = F.row_number().over(Window.partitionBy("point").orderBy("distance", "other"))
+    return pairs.select("point", place.alias("place"), F.round("distance", 6).alias("distance"))
 
 
 @query("syn_smote")
@@ -345,7 +354,32 @@ def _(t: Tables) -> DataFrame:
     return found.drop("p_value")
 
 
-@query("syn_ks_p_value")
+def _ks_exact_sql(columns: list[str]) -> str:
+    """Distances, and the chance of paths within the band, one diagonal after the other."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS f, {c}::DOUBLE AS v, toxic FROM labels JOIN documents USING (doc_id)" for c in columns)
+    return f"""WITH RECURSIVE long AS ({long}), runs AS (
+        SELECT f, v, sum(sum(toxic)) OVER w AS a, sum(sum(1 - toxic)) OVER w AS b, sum(sum(toxic)) OVER (PARTITION BY f) AS n, sum(sum(1 - toxic)) OVER (PARTITION BY f) AS m
+        FROM long GROUP BY f, v WINDOW w AS (PARTITION BY f ORDER BY v)
+      ), d AS (SELECT f, max(n)::BIGINT AS n, max(m)::BIGINT AS m, max(abs(a * m - b * n))::BIGINT AS reach FROM runs GROUP BY f),
+      paths AS (
+        SELECT f, 0::BIGINT AS k, 0::BIGINT AS i, 1.0::DOUBLE AS p FROM d
+        UNION ALL
+        SELECT f, k, i, sum(p) AS p FROM (
+          SELECT paths.f, k + 1 AS k, i + up AS i, p * CASE up WHEN 1 THEN n - i ELSE m - (k - i) END / (n + m - k) AS p, n, m, reach
+          FROM paths JOIN d USING (f), (VALUES (0), (1)) AS s(up) WHERE k < n + m
+        ) WHERE i <= n AND k - i <= m AND abs(i * m - (k - i) * n) < reach GROUP BY f, k, i
+      )
+      SELECT f AS feature, round(reach / (n * m), 6) AS ks, round(1 - coalesce(p, 0), 6) AS p_value, n AS n_left, m AS n_right
+      FROM d LEFT JOIN (SELECT f, k, i, p FROM paths) AS e USING (f) WHERE e.k = n + m AND e.i = n OR NOT EXISTS (SELECT 1 FROM paths q WHERE q.f = d.f AND q.k = n + m) AND e.k = 0"""
+
+
+@query("syn_ks_p_value", _ks_exact_sql(["n_chars", "doc_id"]))
+def _(t: Tables) -> DataFrame:
+    docs = t.documents.join(t.labels, "doc_id")
+    return synthesis.kolmogorov_smirnov(docs.filter("toxic = 1"), docs.filter("toxic = 0"), ["n_chars", "doc_id"])
+
+
+@query("syn_ks_synthetic")
 def _(t: Tables) -> DataFrame:
     docs = _labelled_docs(t)
     rare = docs.filter("toxic = 1")

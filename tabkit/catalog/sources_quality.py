@@ -254,21 +254,23 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-_PLACE = "'s' || (doc_id % 3) || '/{kind}/' || (doc_id // 3)"
+def _place_sql(kind: str) -> str:
+    return f"""CASE doc_id % 3 WHEN 0 THEN 's0/{kind}/' WHEN 1 THEN '{kind}/s1/' ELSE 's2/' END || (doc_id // 3)"""
 
 
 @query(
     "dq_drop_empty_pairs",
-    f"""SELECT {_PLACE.format(kind="images")} || '.jpg' AS path, n_chars AS size,
+    f"""SELECT {_place_sql("images")} || '.jpg' AS path, n_chars AS size,
               (SELECT count(*) FROM documents JOIN labels USING (doc_id) WHERE toxic = 1) AS removed
        FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
 )
 def _(t: Tables) -> DataFrame:
-    """Every stem occurs in all three splits."""
+    """Every stem occurs in all three splits, and each split has another layout of folders."""
 
     def place(kind: str, suffix: str) -> Column:
-        stem = F.floor(F.col("doc_id") / 3).cast("string")
-        return F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string"), F.lit(f"/{kind}/"), stem, F.lit(suffix))
+        stem, split = F.floor(F.col("doc_id") / 3).cast("string"), F.col("doc_id") % 3
+        folder = F.when(split == 0, F.lit(f"s0/{kind}/")).when(split == 1, F.lit(f"{kind}/s1/")).otherwise(F.lit("s2/"))
+        return F.concat(folder, stem, F.lit(suffix))
 
     images = t.documents.select(place("images", ".jpg").alias("path"), F.col("n_chars").alias("size"))
     size = F.when(F.col("toxic") == 1, 0).otherwise(20)

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
 from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, known, missing, numeric_columns, require_columns
-from tabkit.plans.ordered import dense_codes, digest_cuts, quantiles_long, row_digest, running_totals
-from tabkit.plans.sizing import lookup_side
+from tabkit.plans.ordered import digest_cuts, quantiles_long, row_digest, running_totals
+from tabkit.plans.sizing import MAX_BROADCAST_ROWS, lookup_side
+from tabkit.session import checkpointed
 
 MAX_LEVELS = 20
 MAX_CLASS_VALUES = 10
@@ -49,28 +51,46 @@ def impute_category(df: DataFrame, columns: Sequence[str], token: str = "missing
 
 
 def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Codes 0..n-1 of each column's values in lexicographic order: (column, value, code)."""
+    """Codes 0..n-1 of each column's values in lexicographic order: (column, value, code), for all columns at once."""
     require_columns(df, columns)
-    parts = [
-        dense_codes(df.select(F.col(c).cast("string").alias("value")), "value").select(
-            F.lit(c).alias("column"), "value", "code"
-        )
-        for c in columns
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
+    ranks = running_totals(long.distinct(), "value", {"n": ("sum", F.lit(1))}, ["column"])
+    return ranks.select("column", "value", (F.col("cum_n") - 1).cast("long").alias("code"))
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None) -> DataFrame:
-    """Replace values by their codes; values unknown to ``codes`` become null."""
-    codes = label_codes(df, columns) if codes is None else codes
+    """Replace values by their codes; values unknown to ``codes`` become null. A few codes are fetched once for all columns and broadcast."""
+    codes = checkpointed(label_codes(df, columns)) if codes is None else codes
+    few = codes.limit(MAX_BROADCAST_ROWS + 1).collect()
     out = df
     for c in columns:
-        mine = codes.filter(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}"))
-        out = out.join(lookup_side(mine), F.col(c).cast("string") == F.col(f"__v_{c}"), "left")
+        if len(few) <= MAX_BROADCAST_ROWS:
+            own = [(r["value"], r["code"]) for r in few if r["column"] == c]
+            mine = F.broadcast(df.sparkSession.createDataFrame(own, f"`__v_{c}` string, `__c_{c}` long"))
+        else:
+            mine = codes.filter(F.col("column") == c).select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}"))
+        out = out.join(mine, F.col(c).cast("string") == F.col(f"__v_{c}"), "left")
     kept = [F.col(f"__c_{c}").alias(c) if c in columns else F.col(c) for c in df.columns]
     return out.select(*kept)
 
 
+def one_hot_vector(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None, column: str = "levels") -> DataFrame:
+    """Indicators of all levels of all columns as one sparse vector, for any number of levels.
+
+    A column's levels come in lexicographic order, the columns one after the other; missing values and levels that ``fit_on`` does not have are zero everywhere.
+    """
+    codes = checkpointed(label_codes(df if fit_on is None else fit_on, columns))
+    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    names = [f"__h_{c}" for c in columns]
+    coded = label_encode(df.select("*", *[F.col(c).alias(h) for c, h in zip(columns, names)]), names, codes.withColumn("column", F.concat(F.lit("__h_"), "column")))
+    # what has no code gets one more, which the encoder leaves out
+    coded = coded.withColumns({h: F.coalesce(h, F.lit(sizes.get(c, 0))).cast("double") for c, h in zip(columns, names)})
+    most = df.sparkSession.createDataFrame([tuple(float(sizes.get(c, 0)) for c in columns)], ", ".join(f"`{h}` double" for h in names))
+    encoder = OneHotEncoder(inputCols=names, outputCols=[f"{h}_v" for h in names], dropLast=True).fit(most)
+    joined = VectorAssembler(inputCols=[f"{h}_v" for h in names], outputCol=column).transform(encoder.transform(coded))
+    return joined.drop(*names, *[f"{h}_v" for h in names])
+
+
 def ordinal(column: str, mapping: Mapping[str, int]) -> Column:
     """Fixed value-to-number mapping as one literal lookup."""
     pairs = [F.lit(part) for item in mapping.items() for part in item]

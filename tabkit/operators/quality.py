@@ -143,25 +143,32 @@ def stem_of(path: Column) -> Column:
 
 
 def split_of(path: Column) -> Column:
-    """What stands before the last ``images`` or ``labels`` folder of a path; empty without such a folder."""
-    return F.regexp_extract(path, r"^(.*)(?:^|/)(?:images|labels)/[^/]*$", 1)
+    """The folder of a path without its ``images`` or ``labels`` part: ``train`` for ``train/images/x.jpg``, ``images/train/x.jpg`` and ``train/x.jpg``."""
+    folder = F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    return F.trim(F.regexp_replace(folder, r"(^|/)(images|labels)(?=/|$)", ""), F.lit("/"))
 
 
-def drop_empty_pairs(images: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def drop_empty_pairs(images: DataFrame, labels: DataFrame, split: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean manifest, and the count of removed images.
 
-    ``images`` has a path, ``labels`` a path and a size; files belong together if split and stem are equal. An
+    ``images`` has a path, ``labels`` a path and a size; files belong together if split and stem are equal. The split is the folder without its
+    ``images`` or ``labels`` part, or what group 1 of the pattern ``split`` finds in the path; a path without a match is an error. An
     image goes if its label file is empty; when a stem has several image files only the first existing of
     .jpg, .jpeg, .png goes. An image without a label file stays.
     """
     pair = ["__split", "__stem"]
-    preference = F.array_position(F.array(F.lit("jpg"), F.lit("jpeg"), F.lit("png")), F.col("__suffix"))
     path = F.col("path")
+    if split is None:
+        named = split_of(path)
+    else:
+        without = F.raise_error(F.concat(F.lit("no split in path "), path))
+        named = F.when(path.rlike(split), F.regexp_extract(path, split, 1)).otherwise(without)
+    preference = F.array_position(F.array(F.lit("jpg"), F.lit("jpeg"), F.lit("png")), F.col("__suffix"))
     tagged = images.select(
-        "path", split_of(path).alias("__split"), stem_of(path).alias("__stem"),
+        "path", named.alias("__split"), stem_of(path).alias("__stem"),
         F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("__suffix"),
     )
-    empty = labels.filter(F.col("size") == 0).select(split_of(path).alias("__split"), stem_of(path).alias("__stem")).distinct()
+    empty = labels.select(named.alias("__split"), stem_of(path).alias("__stem"), "size").filter(F.col("size") == 0).select(*pair).distinct()
     hit = tagged.filter(preference > 0).join(empty, pair, "left_semi")
     removed = hit.groupBy(*pair).agg(F.min_by("path", preference).alias("path"))
     clean = images.join(removed.select("path"), "path", "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabkit.errors import InsufficientDataError, InvalidArgumentsError
 from tabkit.functions.columns import distinct_key, is_boolean, is_numeric, known, missing, numeric_columns, pearson, require_columns, stack_rows
 from tabkit.plans.ordered import quantiles_long
-from tabkit.plans.sizing import MAX_BROADCAST_ROWS
 
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 AGGREGATES = ("mean", "median", "std", "min", "max", "count", "sum")
@@ -48,7 +48,10 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     clean = df.select(
         *keys, *[F.when(~missing(df, c), F.col(f"`{c}`").cast("double")).alias(c) for c in columns]
     )
-    return moments.join(quantiles_long(clean, columns, QUARTILES, keys), [*keys, "column"], "left")
+    quartiles = quantiles_long(clean, columns, QUARTILES, keys)
+    found = quartiles.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("column").alias("__column"), *[c for c in quartiles.columns if c not in (*keys, "column")])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys], F.col("column") == F.col("__column"))
+    return moments.join(found, same, "left").drop("__column", *[f"__k_{k}" for k in keys])
 
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
@@ -138,8 +141,8 @@ def group_statistics(df: DataFrame, group_by: str, target: str, agg: str = "mean
 def group_rates(df: DataFrame, group_by: str, target: str, digits: int = 2, dense: bool = True) -> DataFrame:
     """Share of each target value within each group, long form.
 
-    Dense output shows absent combinations as zero, so it grows with groups times values; it is
-    refused for targets with too many values, which the sparse form serves.
+    Dense output shows absent combinations as zero, so it grows with groups times values by definition; the sparse form
+    holds only what occurs.
     """
     require_columns(df, [group_by, target])
     counts = (
@@ -149,11 +152,8 @@ def group_rates(df: DataFrame, group_by: str, target: str, digits: int = 2, dens
     )
     sizes = counts.groupBy(group_by).agg(F.sum("n").alias("group_size"))
     if dense:
-        values = [r[0] for r in counts.select(target).distinct().limit(MAX_BROADCAST_ROWS + 1).collect()]
-        if len(values) > MAX_BROADCAST_ROWS:
-            raise InvalidArgumentsError(f"{target!r} has too many values for a dense table; use dense=False")
-        every = F.explode(F.array(*[F.lit(v) for v in values])).alias(target)
-        full = sizes.select(group_by, "group_size", every) if values else sizes.withColumn(target, F.lit(None))
+        # the result itself is the product of both sets
+        full = sizes.crossJoin(counts.select(target).distinct())
         joined = full.join(counts, [group_by, target], "left")
     else:
         joined = counts.join(sizes, group_by)

@@ -167,3 +167,19 @@ def test_best_so_far(spark):
     for partitions in (None, 3):
         curve = relational.best_so_far(df, "i", "v", ["k"], partitions=partitions)
         assert [r["best_so_far"] for r in curve.orderBy("i").collect()] == [5.0, 5.0, 3.0, 3.0]
+
+
+def test_wide_levels_become_a_sparse_vector(spark):
+    df = spark.range(20_000).selectExpr("id", "concat('v', id) AS wide", "if(id % 2 = 0, 'even', null) AS few")
+    got = {r["id"]: r["levels"] for r in features.one_hot_vector(df, ["wide", "few"]).where("id IN (0, 1, 19999)").collect()}
+    order = sorted(f"v{i}" for i in range(20_000))
+    assert all(v.size == 20_001 for v in got.values())
+    assert list(got[0].indices) == [order.index("v0"), 20_000] and list(got[1].indices) == [order.index("v1")]
+    unknown = features.one_hot_vector(df.limit(3), ["wide"], fit_on=df.where("id > 10")).select("levels").first()[0]
+    assert unknown.size == 19_989 and len(unknown.indices) == 0
+
+
+def test_codes_of_all_columns_at_once(spark):
+    df = spark.createDataFrame([("b", 2, None), ("a", 10, "x"), (None, 2, "x")], "s string, n int, t string")
+    assert rows_of(features.label_codes(df, ["s", "n", "t"])) == [("n", "10", 0), ("n", "2", 1), ("s", "a", 0), ("s", "b", 1), ("t", "x", 0)]
+    assert rows_of(features.label_encode(df, ["s", "t"])) == [(0, 10, 0), (1, 2, None), (None, 2, 0)]

@@ -86,7 +86,7 @@ def test_empty_pairs(spark):
     images = spark.createDataFrame(
         [("train/a.jpg",), ("train/a.png",), ("train/b.PNG",), ("train/c.jpg",), ("train/d.gif",)], "path string"
     )
-    labels = spark.createDataFrame([("l/a.txt", 0), ("l/b.txt", 0), ("l/c.txt", 9), ("l/d.txt", 0)], "path string, size long")
+    labels = spark.createDataFrame([("train/a.txt", 0), ("train/b.txt", 0), ("train/c.txt", 9), ("train/d.txt", 0)], "path string, size long")
     clean, removed = quality.drop_empty_pairs(images, labels)
     assert sorted(r[0] for r in clean.collect()) == ["train/a.png", "train/c.jpg", "train/d.gif"]
     assert removed.first()[0] == 2
@@ -159,3 +159,12 @@ def test_random_pairs(spark):
     assert all((r["id"] == r["pair_id"]) == r["same_row"] for r in pairs)
     again = relational.random_pairs(df.repartition(7), ["id"], seed=1, partitions=3)
     assert rows_of(again) == sorted([tuple(r) for r in pairs], key=str)
+
+
+def test_pairs_of_a_named_split(spark):
+    images = spark.createDataFrame([("d/train_1/x.jpg",), ("d/valid_1/x.jpg",)], "path string")
+    labels = spark.createDataFrame([("l/train_2/x.txt", 0), ("l/valid_2/x.txt", 9)], "path string, size long")
+    clean, removed = quality.drop_empty_pairs(images, labels, split=r"/(train|valid)_")
+    assert [r["path"] for r in clean.collect()] == ["d/valid_1/x.jpg"] and removed.first()[0] == 1
+    with pytest.raises(Exception, match="no split in path"):
+        quality.drop_empty_pairs(images, labels, split=r"/(test)_")[0].collect()

@@ -112,3 +112,15 @@ def test_chart_dispatch(trips):
         charts.chart_data(trips, "pie", column="wait")
     with pytest.raises(errors.InvalidArgumentsError):
         charts.chart_data(trips, "histogram", column="nope")
+
+
+def test_quartiles_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, v double")
+    got = {r["g"]: (r["q25"], r["median"], r["q75"]) for r in stats.numeric_summary(df, ["v"], ["g"]).collect()}
+    assert got == {None: (1.5, 2.0, 2.5), "a": (2.0, 2.0, 2.0)}
+
+
+def test_dense_rates_of_many_values(spark):
+    df = spark.range(20_000).selectExpr("id % 2 AS g", "id AS t")
+    dense = stats.group_rates(df, "g", "t")
+    assert dense.count() == 40_000 and dense.agg({"n": "sum"}).first()[0] == 20_000
