@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.llm.bpe import text_chunks
@@ -164,8 +164,8 @@ def _unsettled(crowded: DataFrame, labels: DataFrame) -> DataFrame:
     return store(named.join(several, "bucket"), "buckets-open")
 
 
-def _alone(ids: DataFrame, known: DataFrame) -> DataFrame:
-    """For each id, how many of its cells (``alone``) no other text of ``ids`` has."""
+def _cell_rows(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """``id, cell`` of all cells of the texts in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,8 +173,12 @@ def _alone(ids: DataFrame, known: DataFrame) -> DataFrame:
                 cell = np.frombuffer(batch["cells"][i].as_buffer(), np.int64)
                 yield pa.record_batch({"cell": pa.array(cell), "id": pa.array(np.full(len(cell), batch["id"][i].as_py()), pa.int64())})
 
-    each = known.join(ids, "id", "left_semi").mapInArrow(run, "cell long, id long")
-    once = each.groupBy("cell").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+    return known.join(ids, "id", "left_semi").mapInArrow(run, "cell long, id long")
+
+
+def _alone(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """For each id, how many of its cells (``alone``) no other text of ``ids`` has."""
+    once = _cell_rows(ids, known).groupBy("cell").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
     counted = once.groupBy("id").agg(F.count("*").alias("alone"))
     return ids.join(counted, "id", "left").select("id", F.coalesce("alone", F.lit(0)).alias("alone"))
 
@@ -203,11 +207,24 @@ def _one_each(left: DataFrame, seed: int, similarity: float) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).dropDuplicates()
 
 
-def _all_left(left: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of a bucket that are still in different components and may be similar."""
-    stray, rest = _sides(left)
-    pairs = stray.join(rest, "bucket").where((F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("largest")) | (F.col("x") < F.col("y"))))
-    return pairs.where(_possible(similarity)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).dropDuplicates()
+def _all_left(left: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of different components that may be similar, by an exact prefix join.
+
+    All cells are ordered by how many texts have them, the rarest first. Two texts of at least ``similarity`` s share a cell among the first
+    ``n - ceil(s n) + 1`` of each, and from their first common cell on enough cells are left for the overlap that s asks for. So texts that
+    share a base and differ in rare cells never meet.
+    """
+    texts = store(left.groupBy("id").agg(F.first("label").alias("label"), F.first("n").alias("n")), "prefix-texts")
+    rows = store(_cell_rows(texts.select("id"), known), "prefix-cells")
+    often = rows.groupBy("cell").agg(F.count("*").alias("texts"))
+    first = F.row_number().over(Window.partitionBy("id").orderBy("texts", "cell")) - 1  # the cells of one text
+    prefix = rows.join(often, "cell").withColumn("at", first).join(texts, "id")
+    prefix = store(prefix.where((F.col("texts") > 1) & (F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9))).drop("texts"), "prefixes")
+    x, y = (prefix.select("cell", *[F.col(c).alias(f"{c}{k}") for c in ("id", "label", "n", "at")]) for k in "xy")
+    rest = 1 + F.least(F.col("nx") - F.col("atx") - 1, F.col("ny") - F.col("aty") - 1)
+    enough = (rest >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-6) & (F.least("nx", "ny") >= similarity * F.greatest("nx", "ny") - 1e-6)
+    met = x.join(y, "cell").where((F.col("idx") < F.col("idy")) & (F.col("labelx") != F.col("labely")) & enough)
+    return met.select(F.col("idx").alias("a"), F.col("idy").alias("b")).dropDuplicates()
 
 
 def near_duplicate_classes(
@@ -226,9 +243,8 @@ def near_duplicate_classes(
 
     Equal word sequences are first reduced to one text. Texts that share a band of the signature are candidates: every member of a
     bucket is compared with the bucket's least id. In buckets whose members are not yet all in one component, members
-    outside the largest one are then compared with one member of it, ``TRIALS`` times; at last with all members of other components
-    that neither their unshared shingles nor the triangle inequality rule out. So every pair of a bucket is compared, ruled out, or already in
-    one component, without comparing all pairs of a large class.
+    outside the largest one are then compared with one member of it, ``TRIALS`` times; what is left goes through an exact prefix
+    join. So every pair of a bucket is compared, ruled out, or already in one component, without comparing all pairs of a large class.
 
     Rows with null id, or null, empty or blank text, are classes of their own. Rows that repeat an id count as one
     document with all its texts. No rows give no rows. Other columns are ignored.
@@ -259,7 +275,7 @@ def near_duplicate_classes(
         left = _unsettled(crowded, labels)
         if not left.limit(1).count():
             break
-        pairs = _one_each(left, seed, similarity) if seed < TRIALS else _all_left(left, similarity)
+        pairs = _one_each(left, seed, similarity) if seed < TRIALS else _all_left(left, known, similarity)
         found = store(_similarities(pairs, known).where(F.col("sim") >= similarity), "edges").select("a", "b")
         if found.limit(1).count():
             edges = edges.union(found)
@@ -272,19 +288,27 @@ def near_duplicate_classes(
     return own.join(classes, "digest", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
 
 
+#: Rows whose id is null or repeats are numbered by a hash of id and text, from here on.
+_ODD_IDS = 1 << 62
+
+
 def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The rows of ``df``, all columns, without all but one document of each near-duplicate class.
 
-    The document with the least id stays. Rows that repeat a kept id are reduced to one row; rows with a
-    null id, and texts without words, stay.
+    The document with the least id stays. Rows whose id is null or repeats are decided one by one by id and text: different texts are
+    documents of their own, after all others, and rows that repeat both are reduced to one. Texts without words stay.
     """
-    classes = store(near_duplicate_classes(df, id_column, text_column, **options), "classes")
-    key = F.col("doc_id").cast(df.schema[id_column].dataType).alias(id_column)
-    extra = classes.where("class_id <> doc_id").select(key).dropDuplicates()
-    repeated = classes.where("class_id = doc_id").groupBy("doc_id").count().where("count > 1").select(key)
-    extra, repeated = store(extra, "extra"), store(repeated, "repeated")
-    if repeated.limit(1).count() == 0:
-        return df.join(extra, id_column, "left_anti").select(df.columns)
-    single = df.join(extra.union(repeated), id_column, "left_anti")
-    again = df.join(repeated, id_column, "left_semi").dropDuplicates([id_column])
-    return single.select(df.columns).unionByName(again.select(df.columns))
+    id_, text = F.col(id_column).cast("long"), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    odd = df.select(id_.alias("_odd")).where("_odd IS NOT NULL").groupBy("_odd").count().where("count > 1").select("_odd")
+    odd = store(odd, "repeated-ids")
+    names = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(df.columns)]
+    rows = df.select(*names, id_.alias("_id"), text.alias("_text")).join(odd, F.col("_id") == F.col("_odd"), "left")
+    rows = rows.withColumn("_is_odd", F.col("_id").isNull() | F.col("_odd").isNotNull())
+    hashed = F.lit(_ODD_IDS) + F.xxhash64("_id", "_text").bitwiseAND(F.lit((1 << 61) - 1))
+    rows = rows.withColumn("_row", F.when(F.col("_is_odd"), hashed).otherwise(F.col("_id")))
+    classes = store(near_duplicate_classes(rows.select("_row", "_text"), "_row", "_text", **options), "classes")
+    extra = store(classes.where("class_id <> doc_id").select(F.col("doc_id").alias("_row")).dropDuplicates(), "extra")
+    kept = rows.join(extra, "_row", "left_anti")
+    if odd.limit(1).count() or df.where(id_.isNull()).limit(1).count():
+        kept = kept.where("NOT _is_odd").unionByName(kept.where("_is_odd").dropDuplicates(["_row"]))
+    return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(df.columns)])

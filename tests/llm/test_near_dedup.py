@@ -109,3 +109,37 @@ def test_components_of_a_long_chain(spark):
     labels = dict(near_dedup.components(edges).collect())
     assert labels == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
     assert near_dedup.components(edges.where(F.lit(False))).count() == 0
+
+
+def test_texts_on_one_base_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """2000 texts that share a base and are mutually just below the threshold, and two pairs of real copies among them."""
+    rng = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for k in range(2000):
+        words = base.copy()
+        for at in rng.choice(40, 5, replace=False) * 5:
+            words[at] = f"x{k}_{at}"
+        rows.append((k, " ".join(words)))
+    rows += [(5000, rows[7][1] + " end"), (5001, rows[9][1] + " end")]
+    compared = []
+    similarities = near_dedup._similarities
+
+    def counted(pairs, known):
+        compared.append(pairs.count())
+        return similarities(pairs, known)
+
+    monkeypatch.setattr(near_dedup, "_similarities", counted)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[5000] == 7 and got[5001] == 9 and sum(i != c for i, c in got.items()) == 2
+    assert sum(compared) < 100_000
+
+
+def test_rows_that_share_an_id_are_kept_by_text(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (1, two), (1, two), (2, one), (3, three), (None, three), (None, None), (None, "d e f"), (None, "d e f"), (4, "")]
+    kept = near_dedup.keep_one(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _id string"))
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [t for _, t in got].count(one) == 1 and [t for _, t in got].count(two) == 1
+    assert (3, three) in got and (None, three) not in got and (4, "") in got and (None, None) in got
+    assert [t for _, t in got].count("d e f") == 1 and len(got) == 6
