@@ -230,10 +230,17 @@ _TYPES_SQL = "SELECT *, round(unique_count / n_rows, 4) AS cardinality_ratio FRO
     for c in _PROFILED["orders"]
 ) + ")"
 
+#: A column of dates in four spellings.
+_SPELLED_SQL = """SELECT *, round(unique_count / n_rows, 4) AS cardinality_ratio FROM (SELECT 'spelled' AS name, count(*) AS n_rows, 0::BIGINT AS missing_count,
+    count(DISTINCT CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d.%m.%Y')
+      WHEN 2 THEN strftime(o_orderdate, '%B %-d, %Y') ELSE strftime(o_orderdate, '%-m/%-d/%Y 3:15 PM') END) AS unique_count, 'datetime' AS column_type FROM orders)"""
 
-@query("prof_types", _TYPES_SQL)
+
+@query("prof_types", f"{_TYPES_SQL} UNION ALL {_SPELLED_SQL}")
 def _(t: Tables) -> DataFrame:
-    types = profiling.column_types(t.orders, ["o_orderkey"])
+    spellings = ["yyyy-MM-dd", "dd.MM.yyyy", "MMMM d, yyyy", "M/d/yyyy '3:15 PM'"]
+    spelled = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == i, F.date_format("o_orderdate", p)) for i, p in enumerate(spellings)])
+    types = profiling.column_types(t.orders.withColumn("spelled", spelled), ["o_orderkey"])
     return types.select("name", "n_rows", "missing_count", "unique_count", "cardinality_ratio", "column_type")
 
 
@@ -308,7 +315,9 @@ def _(t: Tables) -> DataFrame:
     f"WITH p AS ({_TYPES_SQL}) SELECT name FROM p WHERE column_type IN ('categorical', 'boolean') AND unique_count <= 10",
 )
 def _(t: Tables) -> DataFrame:
-    types = profiling.column_types(t.orders, ["o_orderkey"])
+    spellings = ["yyyy-MM-dd", "dd.MM.yyyy", "MMMM d, yyyy", "M/d/yyyy '3:15 PM'"]
+    spelled = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == i, F.date_format("o_orderdate", p)) for i, p in enumerate(spellings)])
+    types = profiling.column_types(t.orders.withColumn("spelled", spelled), ["o_orderkey"])
     return profiling.possible_targets(t.orders, types).select("name")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -17,32 +17,65 @@ MAX_CATEGORICAL_RATIO = 0.05
 TEXT_RATIO = 0.5
 TEXT_UNIQUE = 50
 DATE_SAMPLE = 50
-# Accepted date spellings. Each has a separator, so bare numbers are not dates.
-DATE_PATTERNS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy/MM/dd",
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy h:mm a",
-    "M/d/yyyy h:mm:ss a",
-    "dd.MM.yyyy",
-    "dd-MM-yyyy",
-    "d MMM yyyy",
-    "MMM d, yyyy",
-)
+# English names of months and days, of which the first three letters will do.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+_WORD = r"([A-Za-z]{3,9})\.?"
+_DAY_NAME = "(?i:(?:" + "|".join(f"{d[:3]}(?:{d[3:]})?" for d in DAYS) + r"),? +)?"
+#: Orders of the fields of a date; the last group is the time of day. A date has separators, so bare numbers are none.
+_ORDERS = {
+    "ymd": rf"^(\d{{4}})([-/.])(\d{{1,2}})\2(\d{{1,2}})((?:[T ].*)?)$",
+    "xxy": rf"^{_DAY_NAME}(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{4}})((?: .*)?)$",
+    "dby": rf"^{_DAY_NAME}(\d{{1,2}})(?:st|nd|rd|th)?[- ]{_WORD},?[- ](\d{{4}})((?: .*)?)$",
+    "bdy": rf"^{_DAY_NAME}{_WORD} +(\d{{1,2}})(?:st|nd|rd|th)?,? +(\d{{4}})((?: .*)?)$",
+}
+_TIME = r"^(?:[T ] *(\d{1,2}):(\d{2})(?::(\d{2}(?:[.,]\d{1,9})?))? *([AaPp][Mm])? *(Z|UTC|GMT|[+-]\d{2}:?\d{2})?)?$"
 _HEAD = 200
 
 
+def _month(name: Column) -> Column:
+    """Number of a month by its full name or first three letters (four for September), else null."""
+    known = {m: i + 1 for i, m in enumerate(MONTHS)} | {m[:3]: i + 1 for i, m in enumerate(MONTHS)} | {"sept": 9}
+    return F.create_map(*[F.lit(x) for item in known.items() for x in item])[F.lower(name)]
+
+
 def parse_date(text: Column) -> Column:
-    """Timestamp of a date in one of the accepted spellings, else null."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in DATE_PATTERNS])
+    """Timestamp of a date in any common spelling, else null.
+
+    A date is year, month and day between equal separators (``-``, ``/`` or ``.``), or day, month and year: of two numbers before the year the first is the
+    month, unless it is above 12 or the separator is a dot; or day and month name in either order, a day name before it or not. A time may
+    follow: hours and minutes, seconds with a fraction, AM or PM, and a zone (Z, UTC, GMT or an offset). Fields out of range are no date.
+    """
+    moved = {"ymd": "$1|$3|$4|$2|$5", "xxy": "$1|$3|$4|$2|$5", "dby": "$1|$2|$3||$4", "bdy": "$1|$2|$3||$4"}
+    fields = F.coalesce(*[F.when(text.rlike(p), F.concat(F.lit(f"{o}|"), F.regexp_replace(text, p, moved[o]))) for o, p in _ORDERS.items()])
+
+    def dated(f: Column) -> Column:
+        """From order, three fields, separator and time of day."""
+        a, b, c = (f[i].try_cast("int") for i in (1, 2, 3))
+        day_first = (f[4] == ".") | (a > 12)
+        year = F.when(f[0] == "ymd", a).otherwise(c)
+        month = F.when(f[0] == "ymd", b).when(f[0] == "xxy", F.when(day_first, b).otherwise(a)).when(f[0] == "dby", _month(f[2])).otherwise(_month(f[1]))
+        day = F.when(f[0] == "ymd", c).when(f[0] == "xxy", F.when(day_first, a).otherwise(b)).when(f[0] == "dby", a).otherwise(b)
+        time = F.split(F.regexp_replace(f[5], _TIME, "$1|$2|$3|$4|$5"), r"\|", 5)
+        return F.when(f[5].rlike(_TIME), _bound(F.struct(year.alias("y"), month.alias("m"), day.alias("d"), time.alias("t")), _stamp))
+
+    return _bound(F.split(fields, r"\|", 6), dated)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _stamp(s: Column) -> Column:
+    """A timestamp from year, month, day and hour, minute, second, half of the day and zone; null if a field is out of range."""
+    of_time = lambda i: F.nullif(s["t"][i], F.lit(""))
+    hour, half, zone = F.coalesce(of_time(0).cast("int"), F.lit(0)), F.lower(of_time(3)), of_time(4)
+    hour = F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0))
+    second = F.coalesce(F.replace(of_time(2), F.lit(","), F.lit(".")), F.lit("0")).cast("decimal(16,6)")
+    clock = (s["y"], s["m"], s["d"], hour, F.coalesce(of_time(1).cast("int"), F.lit(0)), second)
+    offset = F.when(zone.isin("Z", "UTC", "GMT"), F.lit("UTC")).otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, -2, 2)))
+    return F.when(zone.isNull(), F.try_make_timestamp(*clock)).otherwise(F.try_make_timestamp(*clock, offset))
 
 
 def _orderable(df: DataFrame) -> list[str]:
