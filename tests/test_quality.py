@@ -168,3 +168,24 @@ def test_pairs_of_a_named_split(spark):
     assert [r["path"] for r in clean.collect()] == ["d/valid_1/x.jpg"] and removed.first()[0] == 1
     with pytest.raises(Exception, match="no split in path"):
         quality.drop_empty_pairs(images, labels, split=r"/(test)_")[0].collect()
+
+
+def test_quoted_line_breaks_in_many_blocks(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    words = ["a", "line\nbreak", 'quo"te', "\n\n", "comma, x", "", "two\r\nlines", "plain"]
+    rows = [(i, "".join(words[k] for k in rng.integers(0, len(words), int(rng.integers(0, 60))))) for i in range(600)]
+    rows[300] = (300, "long\n" * 5000)
+    path = str(tmp_path / "q.csv")
+    with open(path, "w", newline="") as f:
+        f.write("id,text\n" + "".join(f'{i},"{t.replace(chr(34), chr(34) * 2)}"\n' for i, t in rows))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 5
+        df = src.read_csv(spark, path, multi_line=True)
+        got = {r["id"]: r["text"] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert df.dtypes == [("id", "bigint"), ("text", "string")] and len(got) == 600
+    for i, t in rows:
+        assert (got[i] or "") == (t if t.strip(" ") not in src.NA_TOKENS else "")
