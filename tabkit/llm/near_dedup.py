@@ -288,27 +288,29 @@ def near_duplicate_classes(
     return own.join(classes, "digest", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
 
 
-#: Rows whose id is null or repeats are numbered by a hash of id and text, from here on.
+#: Rows whose id is null or stands for several texts are numbered by a hash of id and text, from here on.
 _ODD_IDS = 1 << 62
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The rows of ``df``, all columns, without all but one document of each near-duplicate class.
 
-    The document with the least id stays. Rows whose id is null or repeats are decided one by one by id and text: different texts are
-    documents of their own, after all others, and rows that repeat both are reduced to one. Texts without words stay.
+    The document with the least id stays; rows that repeat id and text are reduced to one. Rows whose id is null or stands for several texts
+    are decided one by one by id and text, after all others. Texts without words stay.
     """
     id_, text = F.col(id_column).cast("long"), F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    odd = df.select(id_.alias("_odd")).where("_odd IS NOT NULL").groupBy("_odd").count().where("count > 1").select("_odd")
-    odd = store(odd, "repeated-ids")
+    prints = df.select(id_.alias("_repeated"), F.xxhash64(text).alias("_print")).where("_repeated IS NOT NULL")
+    repeated = prints.groupBy("_repeated").agg(F.count("*").alias("_times"), (F.min("_print") < F.max("_print")).alias("_several"))
+    repeated = store(repeated.where("_times > 1").drop("_times"), "repeated-ids")
     names = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(df.columns)]
-    rows = df.select(*names, id_.alias("_id"), text.alias("_text")).join(odd, F.col("_id") == F.col("_odd"), "left")
-    rows = rows.withColumn("_is_odd", F.col("_id").isNull() | F.col("_odd").isNotNull())
+    rows = df.select(*names, id_.alias("_id"), text.alias("_text")).join(repeated, F.col("_id") == F.col("_repeated"), "left")
+    odd = F.col("_id").isNull() | F.coalesce("_several", F.lit(False))
     hashed = F.lit(_ODD_IDS) + F.xxhash64("_id", "_text").bitwiseAND(F.lit((1 << 61) - 1))
-    rows = rows.withColumn("_row", F.when(F.col("_is_odd"), hashed).otherwise(F.col("_id")))
+    rows = rows.withColumn("_row", F.when(odd, hashed).otherwise(F.col("_id")))
     classes = store(near_duplicate_classes(rows.select("_row", "_text"), "_row", "_text", **options), "classes")
     extra = store(classes.where("class_id <> doc_id").select(F.col("doc_id").alias("_row")).dropDuplicates(), "extra")
     kept = rows.join(extra, "_row", "left_anti")
-    if odd.limit(1).count() or df.where(id_.isNull()).limit(1).count():
-        kept = kept.where("NOT _is_odd").unionByName(kept.where("_is_odd").dropDuplicates(["_row"]))
+    if repeated.limit(1).count() or df.where(id_.isNull()).limit(1).count():
+        again = F.col("_id").isNull() | F.col("_repeated").isNotNull()
+        kept = kept.where(~again).unionByName(kept.where(again).dropDuplicates(["_row"]))
     return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(df.columns)])
