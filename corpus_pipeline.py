@@ -2,7 +2,7 @@
 
 Every stage works on all rows that its predecessor kept and returns the columns of ``documents``; the last one returns
 packed pieces. Null and empty texts are rejected by language identification, since they have no language.
-Rows with a null id can pass the filters; extra columns are carried along. An empty table stays empty.
+Rows with a null id, or an id that repeats, are judged by their own text; extra columns are carried along. An empty table stays empty.
 """
 
 from __future__ import annotations
