@@ -118,6 +118,8 @@ def test_file_listing_keeps_empty_files(spark, tmp_path):
     folders = spark.createDataFrame([(str(tmp_path),)], "path string")
     listing = src.list_files(folders)
     assert sorted((r["path"].split("/")[-1], r["size"]) for r in listing.collect()) == [("a.txt", 0), ("b.txt", 4), ("c.csv", 3)]
+    uri = src.list_files(spark.createDataFrame([(f"file://{tmp_path}/",)], "path string")).collect()
+    assert sorted((r["path"], r["size"]) for r in uri) == [(f"file://{tmp_path}/{n}", s) for n, s in (("a.txt", 0), ("b.txt", 4), ("c.csv", 3))]
     assert src.admissible_files(listing, [".csv"], 10).count() == 1
     assert src.admissible_files(listing, [".csv"], 2).count() == 0
 
