@@ -23,15 +23,15 @@ from tabkit.llm.common import id_remainder, store
 HEAD_WORDS, CLASS_WORDS = 512, 32
 #: Classes of the other words: one for each of the commonest endings, one for the rest.
 ENDING_LETTERS, ENDINGS = 3, 23
-#: Words whose counts are sent to every task; the others get theirs by a join.
-SHARED_WORDS = 131_072
+#: Words whose counts are sent to every task; the others get theirs by a join. Words of equal count are chosen by one of so many hashes.
+SHARED_WORDS, HASH_GRADES = 131_072, 4096
 HIDDEN = 16
 #: Training: parallel streams, steps of truncated backpropagation, passes between averages.
 STREAMS, STEPS, ROUNDS = 256, 16, 4
 RATE = 0.1
 #: Scoring: steps of a window; the state goes on from window to window.
 SCORE_STEPS = 32
-COUNT_BYTES, TRAIN_BYTES, SCORE_BYTES = 12 << 20, 8 << 20, 10 << 20
+COUNT_BYTES, TRAIN_BYTES, SCORE_BYTES = 12 << 20, 16 << 20, 10 << 20
 #: Weights stay within this range; states are within (-1, 1), so that exponentials cannot overflow.
 LARGEST = 4.0
 #: Weights averaged by one task.
@@ -94,18 +94,23 @@ class Vocabulary:
 
 
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
-    """From stored word counts; the driver gets at most ``SHARED_WORDS`` words."""
+    """From stored word counts; the driver gets at most ``SHARED_WORDS`` words and the end.
+
+    Words come by grades of their count, the highest first; of the grade that does not fit as a whole, by grades of their hash.
+    """
     sizes = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
-    grade = F.floor(F.log2("n") * 16)
-    grades = counts.groupBy(grade.alias("grade")).count().orderBy(F.desc("grade")).collect()
-    seen, least = 0, None
-    for r in grades:
-        seen += r["count"]
-        if seen > SHARED_WORDS:
+    grade, part = F.floor(F.log2("n") * 16), F.pmod(F.xxhash64("word"), F.lit(HASH_GRADES))
+    room, wanted = SHARED_WORDS, F.col("word") == END
+    for r in counts.groupBy(grade.alias("grade")).count().orderBy(F.desc("grade")).collect():
+        if r["count"] > room:
+            parts = counts.where(grade == r["grade"]).groupBy(part.alias("part")).count().orderBy("part").collect()
+            fits = np.cumsum([p["count"] for p in parts]) <= room
+            wanted = wanted | (grade > r["grade"]) | ((grade == r["grade"]) & (part < parts[int(fits.sum())]["part"]))
             break
-        least = r["grade"]
-    rows = counts.where(grade >= least).collect() if least is not None else []
-    rows = sorted(rows, key=lambda r: (-r["n"], r["word"]))
+        room -= r["count"]
+    else:
+        wanted = F.lit(True)  # all words fit
+    rows = sorted(counts.where(wanted).collect(), key=lambda r: (-r["n"], r["word"]))
     common: dict[str, int] = {}
     for r in rows[HEAD_WORDS:]:
         end = r["word"][-ENDING_LETTERS:]
@@ -182,14 +187,15 @@ class GatedModel:
         """Natural log-probability of the class of each target and, for head words, of the word in it."""
         of = self.class_of(target)
         logits = states @ self.to_class + self.class_bias
-        out = logits[np.arange(len(of)), of] - np.log(np.exp(logits).sum(axis=1))
+        # single precision may round a share of one up
+        share = lambda x, own: np.minimum(x[np.arange(len(own)), own] - np.log(np.exp(x).sum(axis=1)), 0.0)
+        out = share(logits, of)
         order = np.argsort(of, kind="stable")
         until = np.searchsorted(of[order], np.arange(self.head_classes + 1))
         for k in range(self.head_classes):
             rows = order[until[k] : until[k + 1]]
             if len(rows):
-                inside = states[rows] @ self.to_word[k] + self.word_bias[k]
-                out[rows] += inside[np.arange(len(rows)), target[rows] % CLASS_WORDS] - np.log(np.exp(inside).sum(axis=1))
+                out[rows] += share(states[rows] @ self.to_word[k] + self.word_bias[k], target[rows] % CLASS_WORDS)
         return out
 
     def gradients(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -271,17 +277,10 @@ class Trainer:
         self.squares = [np.full(p.shape, 1e-6, np.float32) for p in model.parameters()]
         self.seen = 0
 
-    def learn(self, texts: pa.Array) -> None:
-        coded, offsets = split_words(texts)
-        inputs = self.vocabulary.codes(coded.dictionary.to_pylist())[1]
+    def learn(self, tokens: np.ndarray, lengths: np.ndarray) -> None:
+        """Train on a row of coded texts; each text's last token is the end."""
         end = int(self.vocabulary.codes([END])[1][0])
-        n = len(offsets) - 1
-        tokens = np.full(int(offsets[-1]) + n, end, np.int64)
-        ends = offsets[1:] + np.arange(n)
-        body = np.ones(len(tokens), bool)
-        body[ends] = False
-        tokens[body] = inputs[np.asarray(coded.indices)] if len(inputs) else []
-        starts = np.concatenate([[0], ends[:-1] + 1])
+        starts = np.cumsum(lengths) - lengths
         h = None
         for inputs_, fresh, target, weight in _streams(tokens, starts, end):
             h = np.zeros((inputs_.shape[1], HIDDEN), np.float32) if h is None else h
@@ -294,12 +293,43 @@ class Trainer:
         self.seen += len(tokens)
 
 
+def code_texts(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The network's inputs of all texts in a row, each followed by the end, and their lengths."""
+    coded, offsets = split_words(texts)
+    inputs = vocabulary.codes([*coded.dictionary.to_pylist(), END])[1].astype(np.uint16)
+    n = len(offsets) - 1
+    word = np.full(int(offsets[-1]) + n, len(inputs) - 1, np.int64)
+    body = np.ones(len(word), bool)
+    body[offsets[1:] + np.arange(n)] = False
+    word[body] = np.asarray(coded.indices)
+    return inputs[word], np.diff(offsets) + 1
+
+
+def coded_texts(df: DataFrame, vocabulary: Vocabulary, rounds: int) -> DataFrame:
+    """The inputs of all texts as 16-bit numbers: a row for each chunk of texts, ``codes{k}`` and ``lengths{k}`` for each slice, so that a round reads only its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in text_chunks(batch, "text", TRAIN_BYTES):
+                codes, lengths = code_texts(chunk["text"], vocabulary)
+                of = np.asarray(chunk["slice"])
+                of_token = np.repeat(of, lengths)
+                found = {f"codes{k}": codes[of_token == k].tobytes() for k in range(rounds)}
+                found |= {f"lengths{k}": lengths[of == k].astype(np.int64).tobytes() for k in range(rounds)}
+                yield pa.record_batch({c: pa.array([v], pa.binary()) for c, v in found.items()})
+
+    rows = df.select("text", F.pmod("slice", F.lit(rounds)).cast("int").alias("slice"))
+    schema = ", ".join([*[f"codes{k} binary" for k in range(rounds)], *[f"lengths{k} binary" for k in range(rounds)]])
+    return store(rows.mapInArrow(run, schema), "codes")
+
+
 def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> GatedModel:
-    """One pass over all rows of ``text`` in ``rounds`` hash slices.
+    """One pass over all rows of ``text`` in ``rounds`` hash slices; texts are coded once.
 
     In a round every task trains its own copy on its texts of the slice; copies are averaged by their numbers of tokens,
     in a tree, and the average starts the next round.
     """
+    coded = coded_texts(df, vocabulary, rounds)
     model = GatedModel(vocabulary)
 
     def averaged(key, group):
@@ -316,18 +346,18 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> GatedM
             own.unpack(np.frombuffer(start, np.float32))
             trainer = Trainer(own, vocabulary)
             for batch in batches:
-                for chunk in text_chunks(batch, "text", TRAIN_BYTES):
-                    if chunk.num_rows:
-                        trainer.learn(chunk["text"])
+                for codes, lengths in zip(batch["codes"], batch["lengths"], strict=True):
+                    if len(lengths.as_buffer()):
+                        trainer.learn(np.frombuffer(codes.as_buffer(), np.uint16).astype(np.int64), np.frombuffer(lengths.as_buffer(), np.int64))
             if trainer.seen:
                 context = TaskContext.get()
                 part = (context.partitionId() if context else 0) // FAN_IN
                 yield pa.record_batch({"part": pa.array([part], pa.int64()), "weights": pa.array([own.packed()], pa.binary()), "n": pa.array([trainer.seen], pa.int64())})
 
-        copies = df.where(F.pmod("slice", F.lit(rounds)) == number).select("text").mapInArrow(run, schema)
-        for _ in range(2):
-            copies = copies.groupBy("part").applyInArrow(averaged, schema)
-        rows = copies.collect()
+        own = coded.select(F.col(f"codes{number}").alias("codes"), F.col(f"lengths{number}").alias("lengths"))
+        copies = store(own.mapInArrow(run, schema), "copies")
+        while len(rows := copies.limit(FAN_IN + 1).collect()) > FAN_IN:  # one level of the tree after the other
+            copies = store(copies.groupBy("part").applyInArrow(averaged, schema), "copies")
         if rows:
             n = sum(r["n"] for r in rows)
             model.unpack(sum(np.frombuffer(r["weights"], np.float32).astype(float) * (r["n"] / n) for r in rows))

@@ -83,7 +83,8 @@ def test_words_of_the_vocabulary_and_unseen_ones_sum_to_one(monkeypatch):
     model = lm.GatedModel(v)
     trainer = lm.Trainer(model, v)
     for _ in range(5):
-        trainer.learn(pa.array(TEXTS))
+        codes, lengths = lm.code_texts(pa.array(TEXTS), v)
+        trainer.learn(codes.astype(np.int64), lengths)
     state = np.random.default_rng(0).uniform(-1, 1, (1, lm.HIDDEN)).astype(np.float32)
     total = 0.0
     for w in counts:
@@ -136,7 +137,8 @@ def test_state_is_carried_across_windows(monkeypatch):
     model = lm.GatedModel(v)
     trainer = lm.Trainer(model, v)
     for _ in range(3):
-        trainer.learn(pa.array(TEXTS))
+        codes, lengths = lm.code_texts(pa.array(TEXTS), v)
+        trainer.learn(codes.astype(np.int64), lengths)
     texts = pa.array([" ".join(TEXTS) * 3, None, "Zebra the CAT", TEXTS[1]])
     found = []
     for steps in (1, 4, 100):
@@ -155,3 +157,20 @@ def test_state_is_carried_across_windows(monkeypatch):
                 score += math.log10(((v.counts[rank] if rank >= 0 else 0) + 1) / (v.tail_total[c] + v.tail_distinct[c] + 1))
             before = code
         assert one["partial"][i].as_py() == pytest.approx(score, rel=1e-4)
+
+
+def test_end_and_equal_counts_with_few_shared_words(spark, monkeypatch):
+    """Long texts: the end is rarer than most words, and the last grade of equal counts does not fit as a whole."""
+    monkeypatch.setattr(lm, "SHARED_WORDS", 600)
+    rows = [(i, " ".join(f"w{(i * 37 + j) % 900}" for j in range(3000))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocabulary = lm.build_vocabulary(lm.count_words(docs))
+    assert lm.END in vocabulary.number and 500 < len(vocabulary.words) <= 601
+    learned = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for t in learned for w in [*t.split(), lm.END])
+    total, space = sum(counts.values()), math.log10(sum(counts.values()) + len(counts) + 1)
+    for r in lm.score_documents(docs).collect():
+        words = [*rows[r["doc_id"]][1].split(), lm.END]
+        assert r["train_tokens"] == total and r["n_known"] == sum(counts[w] > 0 for w in words)
+        assert r["base_score"] == pytest.approx(sum(math.log10(counts[w] + 1) - space for w in words), rel=1e-9)
+        assert r["score"] < 0
