@@ -112,6 +112,27 @@ def test_stream_log_and_retention(spark, intents, tmp_path):
     assert qa_log.expire_log(spark, log, now) == 0
 
 
+def test_expiry_that_is_cut_off_keeps_its_count(spark, tmp_path, monkeypatch):
+    log, stamps = str(tmp_path / "log"), [datetime(2024, 1, 1), datetime(2024, 1, 3, 9), datetime(2024, 1, 3, 15), datetime(2024, 2, 1)]
+    rows = spark.createDataFrame([(str(i), t, f"{t:%Y-%m-%d}", 0) for i, t in enumerate(stamps)], "id string, ts timestamp, log_date string, batch long")
+    rows.withColumn("log_date", F.to_date("log_date")).write.partitionBy("log_date", "batch").parquet(log)
+    drop = qa_log._drop_older
+
+    def cut_off(spark, path, limit):
+        drop(spark, path, limit)
+        raise RuntimeError("cut off")
+
+    now = datetime(2024, 4, 2, 12)
+    monkeypatch.setattr(qa_log, "_drop_older", cut_off)
+    with pytest.raises(RuntimeError):
+        qa_log.expire_log(spark, log, now)
+    monkeypatch.setattr(qa_log, "_drop_older", drop)
+    assert qa_log.expire_log(spark, log, now) == 2
+    spark.catalog.clearCache()
+    assert rows_of(spark.read.parquet(log), "id") == [("2",), ("3",)]
+    assert qa_log.expire_log(spark, log, now) == 0
+
+
 def test_answers(spark):
     df = spark.createDataFrame([("The answer is 45.2 and 7", ["45.2", "ANSWER", "no"], ["sql"], ["stats", "sql"], ["45.2 rows", "x"])],
                                "a string, f array<string>, called array<string>, expected array<string>, src array<string>")
