@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words kept by a Python worker; when more would be needed the memory is emptied and refilled.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 250_000
 #: Text bytes that are encoded at a time.
 CHUNK_BYTES = 4 << 20
 #: What a row counts besides its text; bounds the rows of a slice of short texts.
