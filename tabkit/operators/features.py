@@ -7,7 +7,6 @@ defaults to the frame itself; pass the training rows to keep test rows out of it
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F, types as T
