@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +175,32 @@ def test_log_gates_other_languages(spark):
 
     rows = QUERIES["st_qa_log"](spark, "/root/testdata/sf0.001")
     assert rows.filter("tag = 'non_english'").count() > 0
+
+
+def test_network_on_sparse_bags_is_sparks_own(spark):
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.linalg import Vectors
+    from tabkit.operators.network import fit_network
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(300):
+        y = int(rng.integers(0, 3))
+        words = sorted({int(x) for x in rng.integers(0, 12, 5)} | ({12 + y} if rng.random() < 0.8 else set()))
+        rows.append((Vectors.sparse(15, words if k % 50 else [], [1.0] * (len(words) if k % 50 else 0)), float(y)))
+    df = spark.createDataFrame(rows, ["bag", "y"]).coalesce(1)
+    for rounds in (1, 5, 60):
+        want = MultilayerPerceptronClassifier(featuresCol="bag", labelCol="y", layers=[15, 4, 3, 3], maxIter=rounds, seed=5).fit(df)
+        got = fit_network(df, "bag", "y", [15, 4, 3, 3], rounds, 5)
+        assert np.allclose(got.weights.toArray(), want.weights.toArray(), rtol=1e-4, atol=1e-4), rounds
+
+
+def test_network_never_makes_bags_dense(spark):
+    """A vocabulary of three million words: dense blocks of 128 rows would take 3 GB each, and 9 GB for the rows."""
+    from pyspark.ml.linalg import Vectors
+    from tabkit.operators.network import fit_network
+
+    size = 3_000_000
+    df = spark.createDataFrame([(Vectors.sparse(size, [k % 2, 10 + 7 * k], [1.0, 1.0]), float(k % 2)) for k in range(400)], ["bag", "y"])
+    model = fit_network(df, "bag", "y", [size, 2, 2], 3, 1)
+    assert len(model.weights) == size * 2 + 2 + 2 * 2 + 2
