@@ -141,3 +141,29 @@ def test_hard_input(spark, table):
     model = boosting.fit_boosting(flat, ["a", "b"], "number", rounds=2)
     assert boosting.predict(flat, model).agg(F.min("prediction"), F.max("prediction")).first() == (2.0, 2.0)
     assert all(v == 0 for _, v in boosting.importances(model))
+
+
+def test_rows_are_kept_in_blocks_and_go_down_by_table(table, monkeypatch):
+    """Blocks spare every pass the cost of single rows; a table or comparisons lead to the same leaves."""
+    kept, saved = [], boosting._saved
+    monkeypatch.setattr(boosting, "_saved", lambda rows: kept.append(saved(rows)) or kept[-1])
+    model = boosting.fit_boosting(table.repartition(2), NAMES, "number", rounds=11, depth=4, one_task_bytes=0)
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    assert len(kept) == 2 and all(rows.count() <= cores and rows.agg(F.sum("n")).first()[0] == 600 for rows in kept)
+    codes = np.random.default_rng(1).integers(0, 40, (5000, 3)).astype(np.uint8)
+    for tree in (t for trees in model.trees for t in trees):
+        by_table = tree.leaves(codes)
+        monkeypatch.setattr(boosting, "TABLE_NODES", 0)
+        assert np.array_equal(by_table, tree.leaves(codes)) and (tree.feature[by_table] < 0).all()
+        monkeypatch.undo()
+
+
+def test_many_codes_are_counted_by_all_tasks(table, monkeypatch):
+    ways = []
+    for name in ("_boost_in_task", "_boost_by_levels"):
+        way = getattr(boosting, name)
+        monkeypatch.setattr(boosting, name, lambda *a, way=way, name=name: ways.append(name) or way(*a))
+    boosting.fit_boosting(table, NAMES, "number", rounds=1, depth=1)
+    monkeypatch.setattr(boosting, "ONE_TASK_CODES", 1000)
+    boosting.fit_boosting(table, NAMES, "number", rounds=1, depth=1)
+    assert ways == ["_boost_in_task", "_boost_by_levels"]
