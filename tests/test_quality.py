@@ -191,3 +191,18 @@ def test_quoted_line_breaks_in_many_blocks(spark, tmp_path):
     assert df.dtypes == [("id", "bigint"), ("text", "string")] and len(got) == 600
     for i, t in rows:
         assert (got[i] or "") == (t if t.strip(" ") not in src.NA_TOKENS else "")
+
+
+def test_quoted_records_move_only_long_records(spark, tmp_path):
+    """Lines are counted where they are read: no shuffle has the texts of records of one line."""
+    rows = [(i, f'a "quoted" {i}' if i % 3 else f'line {i}\n"two"\n\nthree') for i in range(4000)]
+    path = src.write_csv(spark.createDataFrame(rows, "id int, text string").repartition(3), str(tmp_path / "texts"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        records = src.quoted_records(spark, path)
+        plan = records._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, src.read_csv(spark, path, schema=T.StructType([T.StructField("id", T.IntegerType()), T.StructField("text", T.StringType())]), multi_line=True).collect())) == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert "Window" not in plan and plan.count("Aggregate") == 1  # of the lines of long records
