@@ -659,23 +659,39 @@ def path_values(path: _Path, codes: np.ndarray, width: int) -> np.ndarray:
 
     A coalition that holds a feature keeps the leaf if the row's code is in its interval; one without it keeps the feature's share of cover. So a
     coalition's value is a product over the path's features, and the sum over coalitions by size is a polynomial: the product of
-    (cover + inside * z), with one factor taken out for the feature in question.
+    (cover + inside * z), with one factor taken out for the feature in question. Rows that are inside the same intervals have the same values, so these
+    are computed once for each set of intervals if there are more rows than sets.
     """
     out = np.zeros((len(codes), width))
     n = len(path.features)
     if not n:
         return out
+    if 1 << n < len(codes):
+        sets = np.arange(1 << n)
+        own, code = np.zeros(len(codes), np.int64), np.arange(BINS + 1)
+        for j, f in enumerate(path.features):
+            stays = np.where(code == 0, path.missing[j], (code >= path.low[j]) & (code <= path.high[j]))
+            own += (stays.astype(np.int64) << j).take(codes[:, f])
+        out[:, path.features] = _set_values(path, (sets[:, None] >> np.arange(n) & 1).astype(float)).take(own, axis=0)
+        return out
     own = codes[:, path.features]
-    inside = np.where(own == 0, path.missing, (own >= path.low) & (own <= path.high)).astype(float)
+    out[:, path.features] = _set_values(path, np.where(own == 0, path.missing, (own >= path.low) & (own <= path.high)).astype(float))
+    return out
+
+
+def _set_values(path: _Path, inside: np.ndarray) -> np.ndarray:
+    """Shapley values of the path's features, by whether a row is inside their intervals."""
+    n = len(path.features)
+    out = np.empty(inside.shape)
     weights = _subset_weights(n)
     for j in range(n):
-        poly = np.zeros((len(codes), n))
+        poly = np.zeros((len(inside), n))
         poly[:, 0] = 1.0
         for i in range(n):
             if i != j:
                 poly[:, 1:] = poly[:, 1:] * path.cover[i] + poly[:, :-1] * inside[:, i : i + 1]
                 poly[:, 0] *= path.cover[i]
-        out[:, path.features[j]] += (poly @ weights) * (inside[:, j] - path.cover[j]) * path.value
+        out[:, j] = (poly @ weights) * (inside[:, j] - path.cover[j]) * path.value
     return out
 
 

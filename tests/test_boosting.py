@@ -167,3 +167,14 @@ def test_many_codes_are_counted_by_all_tasks(table, monkeypatch):
     monkeypatch.setattr(boosting, "ONE_TASK_CODES", 1000)
     boosting.fit_boosting(table, NAMES, "number", rounds=1, depth=1)
     assert ways == ["_boost_in_task", "_boost_by_levels"]
+
+
+def test_shapley_values_are_computed_once_for_each_set_of_intervals(table, monkeypatch):
+    model = boosting.fit_boosting(table, NAMES, "number", rounds=2, depth=4)
+    codes, sizes, plain = np.random.default_rng(2).integers(0, 60, (5000, 3)).astype(np.uint8), [], boosting._set_values
+    monkeypatch.setattr(boosting, "_set_values", lambda path, inside: sizes.append(len(inside)) or plain(path, inside))
+    for path in (p for trees in model.trees for p in boosting.leaf_paths(trees[0])):
+        whole = boosting.path_values(path, codes, 3)
+        each = np.concatenate([boosting.path_values(path, codes[i : i + 2], 3) for i in range(0, 200, 2)])
+        assert np.allclose(whole[:200], each, rtol=0, atol=1e-12)
+    assert max(sizes) <= 8
