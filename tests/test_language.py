@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +35,41 @@ def test_vocabulary_and_bags(spark):
     assert {r["token"]: r["n"] for r in tx.token_counts(df, "text").collect()}["the"] == 2
 
 
+def test_grams_are_those_of_spark(spark, monkeypatch):
+    from pyspark.ml.feature import HashingTF, NGram
+
+    monkeypatch.setattr(tx, "GRAM_BYTES", 40)
+    texts = ["", "a", "ab", "abc", "Ünïcödé ﬁ", "日本語 text 語", "a😀b😀😀😀é", "ß", "\x00\x7f\u0080", "plain words, again and again", "é" * 30, "", "xy", "z\n z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    chars = df.withColumn("chars", F.split("text", ""))
+    want = HashingTF(numFeatures=1 << 14, inputCol="grams", outputCol="tf").transform(NGram(n=3, inputCol="chars", outputCol="grams").transform(chars)).orderBy("id").collect()
+    got = [x for _, found, lengths in tx.gram_buckets(pa.array(texts), 1 << 14) for x in np.split(found, np.cumsum(lengths)[:-1])]
+    assert [sorted(x.tolist()) for x in got] == [sorted(int(k) for k, n in zip(r["tf"].indices, r["tf"].values) for _ in range(int(n))) for r in want]
+
+
+def test_language_model_is_naive_bayes_of_texts(spark, monkeypatch):
+    """The same chances as NGram, HashingTF and NaiveBayes over single texts, with no string per character."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import HashingTF, NGram, StringIndexer
+
+    monkeypatch.setattr(tx, "HELD_LANGUAGES", 1)
+    rows = [("The house is old and the SEA is blue", "en"), ("das Haus ist alt und die See ist blau", "de"), ("la maison est vieille et bleue", "fr"), ("et", "fr"), ("", "de"), (None, "fr")] * 3 + [("a b c", "en")]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    asked = spark.createDataFrame([("the old house",), ("und die",), ("",), (None,), ("et",), ("été 😀",)], "text string")
+    chars = lambda d: d.withColumn("chars", F.split(F.lower(F.coalesce("text", F.lit(""))), ""))
+    stages = [NGram(n=3, inputCol="chars", outputCol="grams"), HashingTF(numFeatures=1 << 14, inputCol="grams", outputCol="tf"), StringIndexer(inputCol="lang", outputCol="y", stringOrderType="alphabetAsc", handleInvalid="keep"), NaiveBayes(featuresCol="tf", labelCol="y")]
+    plain = Pipeline(stages=stages).fit(chars(df.where("length(text) > 0")))
+    want = {r["text"]: list(r["probability"]) for r in plain.transform(chars(asked).withColumn("lang", F.lit("en"))).collect()}
+    model = tx.fit_language_model(df, "text", "lang")
+    scored = tx.language_candidates(model, asked, "text")
+    assert "UDF" in scored._jdf.queryExecution().executedPlan().toString()
+    for r in scored.collect():
+        chances = {c["lang"]: c["prob"] for c in r["candidates"]}
+        assert [chances[x] for x in ("de", "en", "fr")] == pytest.approx(want[r["text"]], rel=1e-9)
+        assert [c["prob"] for c in r["candidates"]] == sorted(chances.values(), reverse=True)
+
+
 def test_language_rule(spark):
     long, short = "x" * 20, "x" * 19
     cases = [
