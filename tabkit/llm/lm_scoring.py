@@ -75,7 +75,6 @@ class Vocabulary:
     tail_total: np.ndarray  # of each ending class
     tail_distinct: np.ndarray
     number: dict[str, int] = field(default_factory=dict)
-    ending: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.head = min(HEAD_WORDS, len(self.words))
@@ -83,13 +82,13 @@ class Vocabulary:
         self.classes = self.head_classes + len(self.endings) + 1
         self.inputs = self.head + len(self.endings) + 1
         self.number = {w: i for i, w in enumerate(self.words)}
-        self.ending = {e: i for i, e in enumerate(self.endings)}
 
-    def codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def codes(self, words: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each word among the shared ones (or -1), and its network input: a head word or an ending class."""
-        rank = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
-        rest = len(self.endings)
-        tail = np.fromiter((self.ending.get(w[-ENDING_LETTERS:], rest) for w in words), np.int64, len(words))
+        words = words.cast(pa.string()) if isinstance(words, pa.Array) else pa.array(words, pa.string())
+        found = lambda values, among, other: np.asarray(pc.fill_null(pc.index_in(values, value_set=pa.array(among, pa.string())), other), np.int64)
+        rank = found(words, self.words, -1)
+        tail = found(pc.utf8_slice_codeunits(words, -ENDING_LETTERS), self.endings, len(self.endings))
         return rank, np.where((rank >= 0) & (rank < self.head), rank, self.head + tail)
 
 
@@ -180,22 +179,44 @@ class GatedModel:
         c = _squash(g[:, 2 * HIDDEN :] + r * s[:, 2 * HIDDEN :])
         return h + z * (c - h), z, r, c, s[:, 2 * HIDDEN :]
 
+    def state_after(self, h: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+        """The state that :meth:`step` gives, to the last bit, in fewer arrays."""
+        g, s = self.enter[inputs], h @ self.turn
+        gates = g[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN]
+        size = np.abs(gates)
+        size += 1
+        gates /= size
+        gates *= 0.5
+        gates += 0.5
+        c = gates[:, HIDDEN:] * s[:, 2 * HIDDEN :]
+        c += g[:, 2 * HIDDEN :]
+        size = np.abs(c)
+        size += 1
+        c /= size
+        c -= h
+        c *= gates[:, :HIDDEN]
+        c += h
+        return c
+
     def class_of(self, target: np.ndarray) -> np.ndarray:
         return np.where(target < self.head, target // CLASS_WORDS, target - self.head + self.head_classes)
 
     def log_probability(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log-probability of the class of each target and, for head words, of the word in it."""
         of = self.class_of(target)
-        logits = states @ self.to_class + self.class_bias
+        logits = states @ self.to_class
+        logits += self.class_bias
         # single precision may round a share of one up
         share = lambda x, own: np.minimum(x[np.arange(len(own)), own] - np.log(np.exp(x).sum(axis=1)), 0.0)
         out = share(logits, of)
-        order = np.argsort(of, kind="stable")
+        order = np.argsort(of.astype(np.uint16), kind="stable")  # short numbers are sorted by digits
         until = np.searchsorted(of[order], np.arange(self.head_classes + 1))
         for k in range(self.head_classes):
             rows = order[until[k] : until[k + 1]]
             if len(rows):
-                out[rows] += share(states[rows] @ self.to_word[k] + self.word_bias[k], target[rows] % CLASS_WORDS)
+                inside = states[rows] @ self.to_word[k]
+                inside += self.word_bias[k]
+                out[rows] += share(inside, target[rows] % CLASS_WORDS)
         return out
 
     def gradients(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -214,22 +235,25 @@ class GatedModel:
         states = np.concatenate(after)
         goal, w = target.reshape(-1), weight.reshape(-1, 1) / max(1.0, float(weight.sum()))
         of = self.class_of(goal)
-        logits = states @ self.to_class + self.class_bias
-        p = np.exp(logits)
+        p = states @ self.to_class
+        p += self.class_bias
+        np.exp(p, out=p)
         p *= w / p.sum(axis=1, keepdims=True)
         p[np.arange(len(of)), of] -= w[:, 0]
         d_class, d_bias, d_states = states.T @ p, p.sum(axis=0), p @ self.to_class.T
         d_word, d_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        order = np.argsort(of, kind="stable")
+        order = np.argsort(of.astype(np.uint16), kind="stable")  # short numbers are sorted by digits
         until = np.searchsorted(of[order], np.arange(self.head_classes + 1))
         for k in range(self.head_classes):
             rows = order[until[k] : until[k + 1]]
             if len(rows):
-                inside = states[rows] @ self.to_word[k] + self.word_bias[k]
-                q = np.exp(inside)
+                own = states[rows]
+                q = own @ self.to_word[k]
+                q += self.word_bias[k]
+                np.exp(q, out=q)
                 q *= w[rows] / q.sum(axis=1, keepdims=True)
                 q[np.arange(len(rows)), goal[rows] % CLASS_WORDS] -= w[rows, 0]
-                d_word[k], d_word_bias[k] = states[rows].T @ q, q.sum(axis=0)
+                d_word[k], d_word_bias[k] = own.T @ q, q.sum(axis=0)
                 d_states[rows] += q @ self.to_word[k].T
         d_states = d_states.reshape(steps, width, HIDDEN)
         d_gate, d_enter = np.empty((steps, width, 3 * HIDDEN), np.float32), np.empty((steps, width, 3 * HIDDEN), np.float32)
@@ -246,7 +270,7 @@ class GatedModel:
             back = (d * (1 - z) + d_gate[t] @ self.turn.T) * fresh[t][:, None]
         d_turn = np.concatenate(before).T @ d_gate.reshape(-1, 3 * HIDDEN)
         flat = inputs.reshape(-1)
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
         d_in = np.zeros_like(self.enter)
         d_in[flat[order][first]] = np.add.reduceat(d_enter.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
@@ -296,7 +320,8 @@ class Trainer:
 def code_texts(texts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """The network's inputs of all texts in a row, each followed by the end, and their lengths."""
     coded, offsets = split_words(texts)
-    inputs = vocabulary.codes([*coded.dictionary.to_pylist(), END])[1].astype(np.uint16)
+    names = coded.dictionary.cast(pa.string())
+    inputs = vocabulary.codes(pa.concat_arrays([names, pa.array([END], names.type)]))[1].astype(np.uint16)
     n = len(offsets) - 1
     word = np.full(int(offsets[-1]) + n, len(inputs) - 1, np.int64)
     body = np.ones(len(word), bool)
@@ -372,7 +397,7 @@ def score_chunk(model: GatedModel, vocabulary: Vocabulary, texts: pa.Array) -> d
     """
     v = vocabulary
     coded, offsets = split_words(texts)
-    names = coded.dictionary.to_pylist()
+    names = coded.dictionary.cast(pa.string())
     rank, inputs = v.codes(names)
     end_rank, end = (int(a[0]) for a in v.codes([END]))
     index = np.asarray(coded.indices, np.int64)
@@ -394,16 +419,16 @@ def score_chunk(model: GatedModel, vocabulary: Vocabulary, texts: pa.Array) -> d
     for t0 in range(0, longest, SCORE_STEPS):
         steps = min(SCORE_STEPS, longest - t0)
         active = np.searchsorted(-size, -np.arange(t0, t0 + steps), side="left")  # texts with more than t tokens
-        widest = int(active[0])
-        t = np.arange(t0, t0 + steps)[:, None]
-        goals = token_input[np.where(size[:widest] - 1 > t, first[:widest] + t, last)]
-        states = np.empty((steps, widest, HIDDEN), np.float32)
-        for k, a in enumerate(active.tolist()):
-            states[k, :a] = h[:a] = model.step(h[:a], previous[:a])[0]
-            previous[:a] = goals[k, :a]
-        there = np.arange(widest) < active[:, None]
-        found = model.log_probability(states[there], goals[there])
-        score[order[:widest]] += np.bincount(np.nonzero(there)[1], found, minlength=widest) / np.log(10)
+        widest, until = int(active[0]), np.cumsum(active)
+        text = np.arange(until[-1]) - np.repeat(until - active, active)  # the windows' tokens, step by step
+        t = np.repeat(np.arange(t0, t0 + steps), active)
+        goals = token_input[np.where(size[text] - 1 > t, first[text] + t, last)]
+        states = np.empty((len(text), HIDDEN), np.float32)
+        for low, a in zip((until - active).tolist(), active.tolist(), strict=True):
+            states[low : low + a] = h[:a] = model.state_after(h[:a], previous[:a])
+            previous[:a] = goals[low : low + a]
+        found = model.log_probability(states, goals)
+        score[order[:widest]] += np.bincount(text, found, minlength=widest) / np.log(10)
     tail = token_input[:-1] >= v.head
     of_text = np.repeat(np.arange(n), np.diff(offsets))
     inside = np.where(tail, log_count[token_rank[:-1]] - tail_space[np.maximum(token_input[:-1] - v.head, 0)], 0.0)
@@ -415,7 +440,7 @@ def score_chunk(model: GatedModel, vocabulary: Vocabulary, texts: pa.Array) -> d
     pairs, times = np.unique(of_text[missing] * max(1, len(names)) + index[missing], return_counts=True)
     text_at = np.searchsorted(pairs // max(1, len(names)), np.arange(n + 1))
     at = pa.array(text_at, pa.int32())
-    words = coded.dictionary.cast(pa.string()).take(pa.array(pairs % max(1, len(names))))
+    words = names.take(pa.array(pairs % max(1, len(names))))
     return {
         "n_tokens": pa.array(lengths, pa.int64()),
         "known": pa.array(known, pa.int64()),

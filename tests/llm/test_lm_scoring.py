@@ -174,3 +174,21 @@ def test_end_and_equal_counts_with_few_shared_words(spark, monkeypatch):
         assert r["train_tokens"] == total and r["n_known"] == sum(counts[w] > 0 for w in words)
         assert r["base_score"] == pytest.approx(sum(math.log10(counts[w] + 1) - space for w in words), rel=1e-9)
         assert r["score"] < 0
+
+
+def test_words_are_coded_by_arrow_as_one_by_one(monkeypatch):
+    v, counts = tiny(monkeypatch, TEXTS, shared=12)
+    words = [*counts, "zebra", "é", "", "ab", "naïveté", "at"]
+    number, ending = {w: i for i, w in enumerate(v.words)}, {e: i for i, e in enumerate(v.endings)}
+    rank = [number.get(w, -1) for w in words]
+    entry = [r if 0 <= r < v.head else v.head + ending.get(w[-3:], len(v.endings)) for r, w in zip(rank, words, strict=True)]
+    for given in (words, pa.array(words), pa.array(words, pa.large_string())):
+        assert [a.tolist() for a in v.codes(given)] == [rank, entry]
+
+
+def test_scoring_moves_states_as_training_does(monkeypatch):
+    v, _ = tiny(monkeypatch, TEXTS)
+    model, rng = lm.GatedModel(v), np.random.default_rng(4)
+    for n in (0, 1, 37):
+        h, inputs = rng.uniform(-1, 1, (n, lm.HIDDEN)).astype(np.float32), rng.integers(0, v.inputs, n)
+        assert np.array_equal(model.state_after(h, inputs), model.step(h, inputs)[0])
