@@ -7,7 +7,7 @@ that share an ending, with add-one counts inside. Counts cover every training to
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +43,13 @@ def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """Dictionary-coded words of all texts in a row (A-Z lower-cased, cut at ASCII white space), and text offsets."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
     flat = lists.flatten()
-    full = np.asarray(pc.binary_length(flat)) > 0
     offsets = np.asarray(lists.offsets, np.int64)
-    kept = np.concatenate([[0], np.cumsum(full)])[offsets - offsets[0]]
-    return flat.filter(pa.array(full)).dictionary_encode(), kept
+    offsets = offsets - offsets[0]
+    full = np.asarray(pc.binary_length(flat)) > 0
+    if not full.all():
+        offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
+        flat = flat.filter(pa.array(full))
+    return flat.dictionary_encode(), offsets
 
 
 def count_words(df: DataFrame) -> DataFrame:
@@ -82,13 +85,18 @@ class Vocabulary:
         self.classes = self.head_classes + len(self.endings) + 1
         self.inputs = self.head + len(self.endings) + 1
         self.number = {w: i for i, w in enumerate(self.words)}
+        self.known_words, self.known_endings = pa.array(self.words, pa.string()), pa.array(self.endings, pa.string())
+
+    def of_network(self) -> Vocabulary:
+        """What the network needs: the same inputs, without the ranks of words that it does not predict one by one."""
+        return replace(self, words=self.words[: self.head], counts=self.counts[: self.head], number={})
 
     def codes(self, words: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each word among the shared ones (or -1), and its network input: a head word or an ending class."""
         words = words.cast(pa.string()) if isinstance(words, pa.Array) else pa.array(words, pa.string())
-        found = lambda values, among, other: np.asarray(pc.fill_null(pc.index_in(values, value_set=pa.array(among, pa.string())), other), np.int64)
-        rank = found(words, self.words, -1)
-        tail = found(pc.utf8_slice_codeunits(words, -ENDING_LETTERS), self.endings, len(self.endings))
+        found = lambda values, among, other: np.asarray(pc.fill_null(pc.index_in(values, value_set=among), other), np.int64)
+        rank = found(words, self.known_words, -1)
+        tail = found(pc.utf8_slice_codeunits(words, -ENDING_LETTERS), self.known_endings, len(self.endings))
         return rank, np.where((rank >= 0) & (rank < self.head), rank, self.head + tail)
 
 
@@ -127,12 +135,21 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
-    """x / (1 + |x|): like the hyperbolic tangent, without exponentials. Its slope is (1 - |result|) squared."""
-    return x / (1 + np.abs(x))
+    """x / (1 + |x|) in place: like the hyperbolic tangent, without exponentials. Its slope is (1 - |result|) squared."""
+    size = np.abs(x)
+    size += 1
+    x /= size
+    return x
 
 
 def _gate_slope(gate: np.ndarray) -> np.ndarray:
-    return 0.5 * np.square(1 - np.abs(2 * gate - 1))
+    slope = 2 * gate
+    slope -= 1
+    np.abs(slope, out=slope)
+    np.subtract(1, slope, out=slope)
+    slope *= slope
+    slope *= 0.5
+    return slope
 
 
 class GatedModel:
@@ -172,67 +189,86 @@ class GatedModel:
             setattr(self, n, raw[at : at + p.size].reshape(p.shape).astype(np.float32))
             at += p.size
 
-    def step(self, h: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
-        g, s = self.enter[inputs], h @ self.turn
-        gates = 0.5 + 0.5 * _squash(g[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        c = _squash(g[:, 2 * HIDDEN :] + r * s[:, 2 * HIDDEN :])
-        return h + z * (c - h), z, r, c, s[:, 2 * HIDDEN :]
-
-    def state_after(self, h: np.ndarray, inputs: np.ndarray) -> np.ndarray:
-        """The state that :meth:`step` gives, to the last bit, in fewer arrays."""
-        g, s = self.enter[inputs], h @ self.turn
-        gates = g[:, : 2 * HIDDEN] + s[:, : 2 * HIDDEN]
-        size = np.abs(gates)
-        size += 1
-        gates /= size
+    @staticmethod
+    def by_gate(rows: np.ndarray) -> np.ndarray:
+        """Rows of the three gates as a table for each gate, so that a gate's values lie side by side."""
+        return np.ascontiguousarray(rows.reshape(len(rows), 3, HIDDEN).transpose(1, 0, 2))
+
+    def moved(self, h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The next state, the gates, the candidate, its part from the state, and the candidate less the state; ``g``: what ``enter`` gives, by gate."""
+        s = self.by_gate(h @ self.turn)
+        gates = _squash(g[:2] + s[:2])
         gates *= 0.5
         gates += 0.5
-        c = gates[:, HIDDEN:] * s[:, 2 * HIDDEN :]
-        c += g[:, 2 * HIDDEN :]
-        size = np.abs(c)
-        size += 1
-        c /= size
-        c -= h
-        c *= gates[:, :HIDDEN]
-        c += h
-        return c
+        c = gates[1] * s[2]
+        c += g[2]
+        _squash(c)
+        way = c - h
+        after = gates[0] * way
+        after += h
+        return after, gates, c, s[2], way
+
+    def step(self, h: np.ndarray, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
+        h, gates, c, s, _ = self.moved(h, self.by_gate(self.enter[inputs]))
+        return h, gates[0], gates[1], c, s
+
+    def state_after(self, h: np.ndarray, inputs: np.ndarray, enter: np.ndarray | None = None) -> np.ndarray:
+        """The state that :meth:`step` gives; ``enter``: the table of that name by gate, if it is at hand."""
+        return self.moved(h, (self.by_gate(self.enter) if enter is None else enter).take(inputs, axis=1))[0]
 
     def class_of(self, target: np.ndarray) -> np.ndarray:
         return np.where(target < self.head, target // CLASS_WORDS, target - self.head + self.head_classes)
 
+    def by_class(self, of: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Rows of head classes, class after class, and where each class begins and ends."""
+        order = np.argsort(of.astype(np.uint16), kind="stable")  # short numbers are sorted by digits
+        until = np.searchsorted(of[order], np.arange(self.head_classes + 1)).tolist()
+        return order[: until[-1]], list(zip(until, until[1:], strict=False))
+
+    def word_logits(self, own: np.ndarray, parts: list[tuple[int, int]]) -> np.ndarray:
+        """Logits of the words in each row's class."""
+        logits = np.empty((len(own), CLASS_WORDS), np.result_type(own, self.to_word))
+        for k, (low, high) in enumerate(parts):
+            if high > low:
+                np.matmul(own[low:high], self.to_word[k], out=logits[low:high])
+                logits[low:high] += self.word_bias[k]
+        return logits
+
     def log_probability(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log-probability of the class of each target and, for head words, of the word in it."""
+
+        def share(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+            chosen = x[np.arange(len(own)), own]
+            np.exp(x, out=x)
+            return np.minimum(chosen - np.log(x.sum(axis=1)), 0.0)  # single precision may round a share of one up
+
         of = self.class_of(target)
         logits = states @ self.to_class
         logits += self.class_bias
-        # single precision may round a share of one up
-        share = lambda x, own: np.minimum(x[np.arange(len(own)), own] - np.log(np.exp(x).sum(axis=1)), 0.0)
         out = share(logits, of)
-        order = np.argsort(of.astype(np.uint16), kind="stable")  # short numbers are sorted by digits
-        until = np.searchsorted(of[order], np.arange(self.head_classes + 1))
-        for k in range(self.head_classes):
-            rows = order[until[k] : until[k + 1]]
-            if len(rows):
-                inside = states[rows] @ self.to_word[k]
-                inside += self.word_bias[k]
-                out[rows] += share(inside, target[rows] % CLASS_WORDS)
+        order, parts = self.by_class(of)
+        out[order] += share(self.word_logits(states[order], parts), target[order] % CLASS_WORDS)
         return out
 
     def gradients(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Gradients of one window of truncated backpropagation, (steps, streams), and the state after it.
 
-        ``fresh`` is 0 where a text begins, which clears the state; ``weight`` is 0 for padding.
+        ``fresh`` is 0 where a text begins, which clears the state, and 1 elsewhere; ``weight`` is 0 for padding.
         """
         steps, width = inputs.shape
-        before, zs, rs, cs, ss, after = [], [], [], [], [], []
+        step_of, stream = np.nonzero(fresh == 0)
+        begun = np.split(stream, np.searchsorted(step_of, np.arange(1, steps)))
+        entered = self.by_gate(self.enter).take(inputs, axis=1)
+        kind = np.result_type(h, self.turn)
+        before, after = np.empty((steps, width, HIDDEN), kind), np.empty((steps, width, HIDDEN), kind)
+        kept = []
         for t in range(steps):
-            h = h * fresh[t][:, None]
-            before.append(h)
-            h, z, r, c, s = self.step(h, inputs[t])
-            for keep, value in ((zs, z), (rs, r), (cs, c), (ss, s), (after, h)):
-                keep.append(value)
-        states = np.concatenate(after)
+            before[t] = h
+            before[t, begun[t]] = 0
+            after[t], *values = self.moved(before[t], entered[:, t])
+            kept.append(values)
+            h = after[t]
+        states = after.reshape(-1, HIDDEN)
         goal, w = target.reshape(-1), weight.reshape(-1, 1) / max(1.0, float(weight.sum()))
         of = self.class_of(goal)
         p = states @ self.to_class
@@ -242,38 +278,48 @@ class GatedModel:
         p[np.arange(len(of)), of] -= w[:, 0]
         d_class, d_bias, d_states = states.T @ p, p.sum(axis=0), p @ self.to_class.T
         d_word, d_word_bias = np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        order = np.argsort(of.astype(np.uint16), kind="stable")  # short numbers are sorted by digits
-        until = np.searchsorted(of[order], np.arange(self.head_classes + 1))
-        for k in range(self.head_classes):
-            rows = order[until[k] : until[k + 1]]
-            if len(rows):
-                own = states[rows]
-                q = own @ self.to_word[k]
-                q += self.word_bias[k]
-                np.exp(q, out=q)
-                q *= w[rows] / q.sum(axis=1, keepdims=True)
-                q[np.arange(len(rows)), goal[rows] % CLASS_WORDS] -= w[rows, 0]
-                d_word[k], d_word_bias[k] = own.T @ q, q.sum(axis=0)
-                d_states[rows] += q @ self.to_word[k].T
+        order, parts = self.by_class(of)
+        own, w = states[order], w[order]
+        q = self.word_logits(own, parts)
+        np.exp(q, out=q)
+        q *= w / q.sum(axis=1, keepdims=True)
+        q[np.arange(len(order)), goal[order] % CLASS_WORDS] -= w[:, 0]
+        d_own = np.empty_like(own)
+        for k, (low, high) in enumerate(parts):
+            if high > low:
+                d_word[k], d_word_bias[k] = own[low:high].T @ q[low:high], q[low:high].sum(axis=0)
+                np.matmul(q[low:high], self.to_word[k].T, out=d_own[low:high])
+        d_states[order] += d_own
         d_states = d_states.reshape(steps, width, HIDDEN)
-        d_gate, d_enter = np.empty((steps, width, 3 * HIDDEN), np.float32), np.empty((steps, width, 3 * HIDDEN), np.float32)
-        back = np.zeros((width, HIDDEN), np.float32)
+        d_gate, d_new = np.empty((steps, width, 3 * HIDDEN), np.float32), np.empty((steps, width, HIDDEN), np.float32)
+        back, turned = np.zeros((width, HIDDEN), np.float32), self.turn.T
         for t in range(steps - 1, -1, -1):
-            d = d_states[t] + back
-            z, r, c = zs[t], rs[t], cs[t]
-            dc = d * z * np.square(1 - np.abs(c))
-            d_enter[t, :, :HIDDEN] = d * (c - before[t]) * _gate_slope(z)
-            d_enter[t, :, HIDDEN : 2 * HIDDEN] = dc * ss[t] * _gate_slope(r)
-            d_enter[t, :, 2 * HIDDEN :] = dc
-            d_gate[t] = d_enter[t]
-            d_gate[t, :, 2 * HIDDEN :] = dc * r
-            back = (d * (1 - z) + d_gate[t] @ self.turn.T) * fresh[t][:, None]
-        d_turn = np.concatenate(before).T @ d_gate.reshape(-1, 3 * HIDDEN)
+            d = d_states[t]
+            d += back
+            gates, c, s, way = kept[t]
+            slope = _gate_slope(gates)
+            way *= d
+            np.multiply(way, slope[0], out=d_gate[t, :, :HIDDEN])
+            np.abs(c, out=c)
+            np.subtract(1, c, out=c)
+            c *= c
+            new = d * gates[0]
+            new *= c
+            d_new[t] = new
+            s *= new
+            np.multiply(s, slope[1], out=d_gate[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(new, gates[1], out=d_gate[t, :, 2 * HIDDEN :])
+            np.subtract(1, gates[0], out=c)
+            back = np.multiply(d, c, out=d)
+            back += d_gate[t] @ turned
+            back[begun[t]] = 0
+        d_turn = before.reshape(-1, HIDDEN).T @ d_gate.reshape(-1, 3 * HIDDEN)
+        d_gate[:, :, 2 * HIDDEN :] = d_new  # what an input gets: the candidate's part is not gated
         flat = inputs.reshape(-1)
         order = np.argsort(flat.astype(np.uint16), kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
         d_in = np.zeros_like(self.enter)
-        d_in[flat[order][first]] = np.add.reduceat(d_enter.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        d_in[flat[order][first]] = np.add.reduceat(d_gate.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         return [d_in, d_turn, d_class, d_bias, d_word, d_word_bias], h
 
 
@@ -310,8 +356,12 @@ class Trainer:
             h = np.zeros((inputs_.shape[1], HIDDEN), np.float32) if h is None else h
             grads, h = self.model.gradients(h, inputs_, fresh, target, weight)
             for name, p, g, s in zip(GatedModel.NAMES, self.model.parameters(), grads, self.squares, strict=True):
-                s += g * g
-                p -= RATE * g / np.sqrt(s)
+                size = g * g
+                s += size
+                np.sqrt(s, out=size)
+                g *= RATE
+                g /= size
+                p -= g
                 if not name.endswith("bias"):
                     np.clip(p, -LARGEST, LARGEST, out=p)
         self.seen += len(tokens)
@@ -354,6 +404,7 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> GatedM
     In a round every task trains its own copy on its texts of the slice; copies are averaged by their numbers of tokens,
     in a tree, and the average starts the next round.
     """
+    vocabulary = vocabulary.of_network()
     coded = coded_texts(df, vocabulary, rounds)
     model = GatedModel(vocabulary)
 
@@ -389,46 +440,51 @@ def train(df: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> GatedM
     return model
 
 
-def score_chunk(model: GatedModel, vocabulary: Vocabulary, texts: pa.Array) -> dict[str, pa.Array]:
-    """Scores of whole texts, as far as the shared counts go, and the words whose counts are still missing.
+def network_score(model: GatedModel, goal_of: np.ndarray, first: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
+    """Log10 probability that the network gives each text: ``size`` tokens of ``goal_of`` from ``first`` on.
 
     Texts go side by side, longest first; in every window all texts that are long enough take ``SCORE_STEPS`` steps from
     the state that their last window left.
     """
+    score, longest, enter = np.zeros(len(size)), int(size[0]) if len(size) else 0, model.by_gate(model.enter)
+    h, previous = np.zeros((len(size), HIDDEN), np.float32), np.full(len(size), end, np.int64)
+    for t0 in range(0, longest, SCORE_STEPS):
+        steps = min(SCORE_STEPS, longest - t0)
+        active = np.searchsorted(-size, -np.arange(t0, t0 + steps), side="left")  # texts with more than t tokens
+        until = np.cumsum(active)
+        spans = list(zip((until - active).tolist(), until.tolist(), active.tolist(), strict=True))
+        goals, states = np.empty(until[-1], np.int64), np.empty((until[-1], HIDDEN), np.float32)  # the window's tokens, step by step
+        for t, (low, high, a) in enumerate(spans, t0):
+            states[low:high] = h = model.state_after(h[:a], previous[:a], enter)
+            goals[low:high] = previous = goal_of[first[:a] + t]
+        found, sums = model.log_probability(states, goals), np.zeros(active[0])
+        for low, high, a in spans:
+            sums[:a] += found[low:high]
+        score[: active[0]] += sums / np.log(10)
+    return score
+
+
+def score_chunk(model: GatedModel, vocabulary: Vocabulary, texts: pa.Array) -> dict[str, pa.Array]:
+    """Scores of whole texts, as far as the shared counts go, and the words whose counts are still missing.
+
+    The network's part is :func:`network_score`'s.
+    """
     v = vocabulary
     coded, offsets = split_words(texts)
     names = coded.dictionary.cast(pa.string())
-    rank, inputs = v.codes(names)
-    end_rank, end = (int(a[0]) for a in v.codes([END]))
+    rank, inputs = v.codes(pa.concat_arrays([names, pa.array([END], names.type)]))
+    end_rank, end = int(rank[-1]), int(inputs[-1])
     index = np.asarray(coded.indices, np.int64)
     lengths = np.diff(offsets) + 1
     n = len(lengths)
-    order = np.argsort(-lengths, kind="stable")
-    size = lengths[order]
-    longest = int(size[0]) if n else 0
     shared = np.append(v.counts, 0)
     log_count = np.log10(shared + 1.0)
     tail_space = np.log10(v.tail_total + v.tail_distinct + 1)
-    token_rank = np.concatenate([rank[index], [end_rank]]) if len(names) else np.array([end_rank])
-    token_input = np.concatenate([inputs[index], [end]]) if len(names) else np.array([end])
-    last = len(token_rank) - 1  # the end word, after all others
+    token_rank, token_input = rank[np.append(index, -1)], inputs[np.append(index, -1)]
+    goal_of = np.insert(token_input[:-1], offsets[1:], end)  # each text's tokens, then its end
+    first, order = offsets[:-1] + np.arange(n), np.argsort(-lengths, kind="stable")
     score = np.zeros(n)
-    h = np.zeros((n, HIDDEN), np.float32)
-    previous = np.full(n, end, np.int64)
-    first = offsets[:-1][order]
-    for t0 in range(0, longest, SCORE_STEPS):
-        steps = min(SCORE_STEPS, longest - t0)
-        active = np.searchsorted(-size, -np.arange(t0, t0 + steps), side="left")  # texts with more than t tokens
-        widest, until = int(active[0]), np.cumsum(active)
-        text = np.arange(until[-1]) - np.repeat(until - active, active)  # the windows' tokens, step by step
-        t = np.repeat(np.arange(t0, t0 + steps), active)
-        goals = token_input[np.where(size[text] - 1 > t, first[text] + t, last)]
-        states = np.empty((len(text), HIDDEN), np.float32)
-        for low, a in zip((until - active).tolist(), active.tolist(), strict=True):
-            states[low : low + a] = h[:a] = model.state_after(h[:a], previous[:a])
-            previous[:a] = goals[low : low + a]
-        found = model.log_probability(states, goals)
-        score[order[:widest]] += np.bincount(text, found, minlength=widest) / np.log(10)
+    score[order] = network_score(model, goal_of, first[order], lengths[order], end)
     tail = token_input[:-1] >= v.head
     of_text = np.repeat(np.arange(n), np.diff(offsets))
     inside = np.where(tail, log_count[token_rank[:-1]] - tail_space[np.maximum(token_input[:-1] - v.head, 0)], 0.0)

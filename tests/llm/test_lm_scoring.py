@@ -192,3 +192,37 @@ def test_scoring_moves_states_as_training_does(monkeypatch):
     for n in (0, 1, 37):
         h, inputs = rng.uniform(-1, 1, (n, lm.HIDDEN)).astype(np.float32), rng.integers(0, v.inputs, n)
         assert np.array_equal(model.state_after(h, inputs), model.step(h, inputs)[0])
+
+
+def test_training_takes_only_the_words_of_the_network_along(monkeypatch):
+    v, counts = tiny(monkeypatch, TEXTS)
+    small = v.of_network()
+    assert small.words == v.words[: v.head] and len(small.words) < len(v.words)
+    words = [*counts, "zebra", ""]
+    assert small.codes(words)[1].tolist() == v.codes(words)[1].tolist()
+    assert lm.GatedModel(small).packed() == lm.GatedModel(v).packed()
+
+
+def test_windows_are_learned_as_step_by_step(monkeypatch):
+    """The states of a window are those of single steps, to the last bit; cleared where a text begins."""
+    v, _ = tiny(monkeypatch, TEXTS)
+    model, rng = lm.GatedModel(v), np.random.default_rng(2)
+    h = start = rng.uniform(-0.5, 0.5, (7, lm.HIDDEN)).astype(np.float32)
+    inputs = rng.integers(0, v.inputs, (5, 7))
+    fresh = (rng.random((5, 7)) < 0.7).astype(np.float32)
+    for t in range(5):
+        h = model.step(h * fresh[t][:, None], inputs[t])[0]
+    _, last = model.gradients(start, inputs, fresh, inputs, np.ones((5, 7), np.float32))
+    assert np.array_equal(last, h)
+
+
+def test_a_chunk_is_looked_up_once(monkeypatch):
+    """The table of shared words is hashed once a chunk, for its words and the end together."""
+    v, _ = tiny(monkeypatch, TEXTS, shared=12)
+    model, texts = lm.GatedModel(v), pa.array(["", *TEXTS, None, "  the   cat "])
+    calls, codes = [], lm.Vocabulary.codes
+    monkeypatch.setattr(lm.Vocabulary, "codes", lambda self, words: (calls.append(len(words)), codes(self, words))[1])
+    found = lm.score_chunk(model, v, texts)
+    assert len(calls) == 1
+    assert found["n_tokens"].to_pylist() == [len(tokens(t)) for t in texts.to_pylist()]
+    assert lm.score_chunk(model, v, texts.slice(0, 0))["partial"].to_pylist() == []
