@@ -6,7 +6,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabkit.catalog.registry import Tables, query
-from tabkit.operators import anomaly, boosting, explain, features, models, relational, synthesis
+from tabkit.operators import anomaly, boosting, explain, features, models, relational, synthesis, text
 from tabkit.session import scratch_path
 
 # --- models -----------------------------------------------------------------------------------
@@ -95,9 +95,8 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyzáäéèêñöüßçóí"
 )
 def _(t: Tables) -> DataFrame:
     """Languages of held-out documents from shares of letters, by softmax boosting with the default 200 rounds."""
-    low = F.lower("text")
-    share = lambda c: (F.length(low) - F.length(F.translate(low, c, ""))) / F.greatest(F.length("text"), F.lit(1))
-    rows = t.documents.where("lang IS NOT NULL").select("doc_id", "lang", *[share(c).alias(f"share{i}") for i, c in enumerate(_LETTERS)])
+    counted = t.documents.where("lang IS NOT NULL").select("doc_id", "lang", F.length("text").alias("n"), text.character_counts(F.lower("text"), _LETTERS).alias("counts"))
+    rows = counted.select("doc_id", "lang", *[(F.col("counts")[i] / F.greatest("n", F.lit(1))).alias(f"share{i}") for i in range(len(_LETTERS))])
     kinds = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
     coded = rows.withColumn("y", F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("lang")) - 1)
     names = [f"share{i}" for i in range(len(_LETTERS))]

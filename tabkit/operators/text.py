@@ -26,6 +26,8 @@ MIN_LANGUAGE_CHARS = 20
 LANGUAGE_CONFIDENCE = 0.7
 #: Bytes of texts whose trigrams are hashed at a time, and languages whose sums a task holds at a time.
 GRAM_BYTES, HELD_LANGUAGES = 1 << 18, 256
+#: Bytes of texts whose characters are counted at a time.
+COUNTED_BYTES = 1 << 20
 INTENT_CONFIDENCE = 0.75
 FALLBACK = "Sorry, I did not understand the question."
 ENGLISH_ONLY = "This service answers messages in English."
@@ -43,6 +45,46 @@ def token_counts(df: DataFrame, text: str) -> DataFrame:
     return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def character_counts(text: Column, characters: str) -> Column:
+    """How often each of some characters occurs in a text, as an array; all of them in one pass over its bytes."""
+    codes = [c.encode() for c in characters]
+    table = np.full(256, len(codes), np.uint8 if len(codes) < 256 else np.int64)
+    for i, code in enumerate(codes):
+        if len(code) == 1:
+            table[code[0]] = i
+    wide = {int.from_bytes(code.ljust(4, b"\0"), "little"): i for i, code in enumerate(codes) if len(code) > 1}
+    numbers = np.array(sorted(wide), np.uint32)
+    places = np.array([wide[int(x)] for x in numbers], np.int64)
+
+    @F.arrow_udf("array<bigint>")
+    def counts_of(texts: pa.Array) -> pa.Array:
+        known = texts.is_valid()
+        plain = texts.fill_null("").cast(pa.large_binary())
+        ends = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
+        data = np.frombuffer(plain.buffers()[2] or b"", np.uint8)
+        width, first = len(codes) + 1, 0
+        found = np.zeros((len(plain), width), np.int64)
+        while first < len(plain):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + COUNTED_BYTES, "right")) - 1)
+            part = data[ends[first] : ends[last]]
+            row = np.repeat(np.arange(last - first) * width, np.diff(ends[first : last + 1]))
+            found[first:last] = np.bincount(row + table[part], minlength=(last - first) * width).reshape(-1, width)
+            if len(numbers):
+                lead = np.flatnonzero(part >= 0xC0)
+                size = 2 + (part[lead] >= 0xE0).astype(np.uint32) + (part[lead] >= 0xF0)
+                padded, code = np.concatenate([part, np.zeros(3, np.uint8)]), part[lead].astype(np.uint32)
+                for k in range(1, 4):
+                    code |= np.where(size > k, padded[lead + k].astype(np.uint32) << np.uint32(8 * k), np.uint32(0))
+                at = np.minimum(np.searchsorted(numbers, code), len(numbers) - 1)
+                hit = numbers[at] == code
+                found[first:last] += np.bincount(row[lead[hit]] + places[at[hit]], minlength=(last - first) * width).reshape(-1, width)
+            first = last
+        values = pa.array(found[:, : len(codes)].ravel())
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(plain) + 1) * len(codes), pa.int32()), values, mask=pa.array(~known.to_numpy(zero_copy_only=False)))
+
+    return counts_of(text)
+
+
 def stem_dictionary(df: DataFrame, text: str) -> DataFrame:
     """(token, n, stem) of every distinct token. Only the dictionary passes through Python."""
 

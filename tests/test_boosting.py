@@ -178,3 +178,43 @@ def test_shapley_values_are_computed_once_for_each_set_of_intervals(table, monke
         each = np.concatenate([boosting.path_values(path, codes[i : i + 2], 3) for i in range(0, 200, 2)])
         assert np.allclose(whole[:200], each, rtol=0, atol=1e-12)
     assert max(sizes) <= 8
+
+
+@pytest.mark.parametrize("classes", [None, 2, 3])
+def test_tasks_side_by_side_give_the_same_trees(table, monkeypatch, classes):
+    """Tasks that deal out rows, tasks that hold copies of all rows, and rows in files, against one task and one job per level."""
+    rows = table.withColumn("t", F.col("number") if classes is None else (F.col("y") > 0).cast("int") if classes == 2 else F.col("y"))
+    settings = {"rounds": 7, "depth": 5, "row_share": 0.8, "column_share": 0.7, "positive_weight": 2.5, "validation": "held", "gamma": 0.01}
+    fit = lambda: boosting.fit_boosting(rows, NAMES, "t", classes, one_task_bytes=0, **settings)
+    ways, side = [], boosting._boost_side_by_side
+    fitted = [boosting.fit_boosting(rows, NAMES, "t", classes, **settings), fit()]
+    monkeypatch.setattr(boosting, "_boost_side_by_side", lambda *a: ways.append(a[-1]) or side(*a))
+    monkeypatch.setattr(boosting, "HELD_CODES", 0)
+    for name, value in (("GATHERED_BYTES", 1 << 26), ("GATHERED_BYTES", 0)):
+        monkeypatch.setattr(boosting, name, value)
+        fitted.append(fit())
+    assert ways == [False, True]
+    for model in fitted[1:]:
+        assert model.curve == fitted[0].curve and len(model.trees) == 7
+        for a, b in zip(itertools.chain(*fitted[0].trees), itertools.chain(*model.trees), strict=True):
+            assert all(np.array_equal(getattr(a, n), getattr(b, n)) for n in a.__dataclass_fields__)
+
+
+def test_kept_rows_are_counted_together_and_put_into_files(monkeypatch):
+    """Few values are counted in one go, rows beyond a limit lie in files; trees stay those of single features in memory."""
+    rng = np.random.default_rng(5)
+    codes = np.column_stack([rng.integers(0, n, 6000) for n in (5, 7, 200, 3)]).astype(np.uint8)
+    y = (codes[:, 0] * codes[:, 1] + codes[:, 2] // 40 + rng.integers(0, 4, 6000)).astype(float)
+    rows = lambda: iter([boosting._Rows(codes, np.zeros((6000, 1)), y, np.ones(6000), np.zeros(6000, bool), np.arange(6000))])
+    s = boosting._Settings("squared", 4, 1, 1.0, 4, 6, 0.3, 0.0, 1.0, 0.0, 1.0, 1.0, 1.0, None, 1)
+    sizes, fits = [5, 7, 200, 3], []
+    for joint, memory in ((1, 1 << 30), (1 << 10, 1 << 30), (1 << 10, 50_000)):
+        monkeypatch.setattr(boosting, "JOINT_CODES", joint)
+        monkeypatch.setattr(boosting, "MEMORY_BYTES", memory)
+        keeper = boosting._Keeper(rows(), sizes, s)
+        fits.append((len(keeper.groups), len(keeper.space.piece) > 0, boosting._boost(keeper.level, keeper.finish, 0, s)))
+    assert [f[:2] for f in fits] == [(4, False), (3, False), (3, True)]
+    for f in fits[1:]:
+        assert f[2][1] == fits[0][2][1]
+        for a, b in zip(itertools.chain(*fits[0][2][0]), itertools.chain(*f[2][0]), strict=True):
+            assert all(np.array_equal(getattr(a, n), getattr(b, n)) for n in a.__dataclass_fields__)

@@ -240,3 +240,15 @@ def test_network_never_makes_bags_dense(spark):
     df = spark.createDataFrame([(Vectors.sparse(size, [k % 2, 10 + 7 * k], [1.0, 1.0]), float(k % 2)) for k in range(400)], ["bag", "y"])
     model = fit_network(df, "bag", "y", [size, 2, 2], 3, 1)
     assert len(model.weights) == size * 2 + 2 + 2 * 2 + 2
+
+
+def test_characters_are_counted_in_one_pass(spark, monkeypatch):
+    letters = "ab zéßñ€😀"
+    texts = ["", None, "abba é", "ééß€€😀z", "Ünder ñandú", "x" * 50 + "a€", "b" * 40]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string").coalesce(1)
+    for size in (1 << 20, 8):
+        monkeypatch.setattr(tx, "COUNTED_BYTES", size)
+        got = {r["i"]: r["n"] for r in df.select("i", tx.character_counts(F.col("text"), letters).alias("n")).collect()}
+        assert [got[i] for i in range(len(texts))] == [None if x is None else [x.count(c) for c in letters] for x in texts]
+    one = lambda c: F.length("text") - F.length(F.translate("text", c, ""))
+    assert df.where("text IS NOT NULL").select(F.array(*[one(c).cast("long") for c in letters]) == tx.character_counts(F.col("text"), letters)).distinct().collect() == [(True,)]
