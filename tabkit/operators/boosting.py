@@ -834,10 +834,10 @@ class _Talk:
         self._say(said)
         heard = []
         for task in range(self.tasks):
-            path, pause = self._path(task), 0.0005
+            path, pause = self._path(task), 0.0002
             while not os.path.exists(path):
                 time.sleep(pause)
-                pause = min(1.3 * pause, 0.02)
+                pause = min(1.3 * pause, 0.002)
             with open(path, "rb") as f:
                 heard.append(f.read())
         os.unlink(self._path(self.me, self.step - 1))
