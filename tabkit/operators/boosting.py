@@ -464,13 +464,14 @@ def fit_boosting(
     slots = _slots(spark) if folder else 0
     told = 16 * outputs * sum(sizes) << max(0, depth - 2)  # most sums of a level
     dealt = min(slots, math.isqrt(GATHERED_BYTES // told)) if told else 0
-    if slots > 1 and 2 * dealt >= slots:
+    copied = slots > 1 and n_bytes <= COPIED_BYTES
+    if slots > 1 and (dealt == slots or not copied and 2 * dealt >= slots):
         trees, curve, best = _boost_side_by_side(ready.repartition(dealt), coded, len(done), sizes, s, folder, False)
     else:
         if seen["n"] <= DEALT_ROWS:
             ready = ready.repartition(spark.sparkContext.defaultParallelism)
         rows = _saved(ready.mapInArrow(coded, _ROWS))
-        if slots > 1 and n_bytes <= COPIED_BYTES:
+        if copied:
             each = rows.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).repartitionById(slots, "task").drop("task")
             trees, curve, best = _boost_side_by_side(each, lambda batches: batches, len(done), sizes, s, folder, True)
         elif n_bytes <= one_task_bytes and n_codes <= ONE_TASK_CODES:
